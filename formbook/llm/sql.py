@@ -18,3 +18,24 @@ g AS (SELECT rid, sum(CASE WHEN before + words <= budget THEN words ELSE greates
 SELECT doc_id, source, size, source_size, coalesce(target, 0.0) AS target, coalesce(taken, 0)::BIGINT AS taken, coalesce(CASE WHEN target > 0 THEN pe / target END, 0.0) AS finish
 FROM q LEFT JOIN g USING (rid)
 """
+
+OP8 = r"""
+WITH l AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+x AS (SELECT rid, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM l),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM x),
+n AS (SELECT key, count(DISTINCT rid) AS n, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY 1),
+j AS (SELECT k.rid, k.doc_id, k.line, k.pos, coalesce(n.n >= 3 AND n.last IS NOT NULL AND (k.doc_id IS NULL OR k.doc_id < n.last), FALSE) AS lost FROM k LEFT JOIN n ON k.key = n.key)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (lost)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
+FROM j GROUP BY rid, doc_id
+"""
+
+OP6 = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'))
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(24 + length(regexp_replace(role, '[\\\n]|<\\*\|', '\0x', 'g')) + length(regexp_replace(text, '<\\*\|', '\0x', 'g')))::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+"""
