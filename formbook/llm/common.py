@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, once for each application."""
+    import formbook
+
+    context = spark.sparkContext
+    if getattr(context, "_formbook_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(formbook.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="formbook-"), "formbook.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(top)))
+    context.addPyFile(path)
+    context._formbook_shipped = True
+
+
 def lower_ascii(c: Column) -> Column:
     """Lower-case A-Z alone; other letters stay."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from formbook.llm.common import materialize, same
+from formbook.llm.common import materialize, same, ship
 
 BANDS, ROWS = 32, 4
 #: Signatures that agree in fewer places than threshold minus this are not verified (6 standard deviations).
@@ -191,13 +191,15 @@ def prefix_pairs(members: DataFrame, percent: int) -> DataFrame:
     often = loose.groupBy("s").agg(F.count(F.lit(1)).alias("often"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("often > 1")
     ranked = loose.join(often, "s", "left").withColumn("rank", F.row_number().over(W.partitionBy("class").orderBy(F.coalesce("often", F.lit(1)), "s")))
     ranked = ranked.where((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * t - 1e-9) + 1) & (F.col("r0") != F.col("r1")))
-    ranked = materialize(ranked.withColumn("short", F.col("rank") <= F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1).select("s", "class", "root", "n", "rank", "short"), "prefixes")
-    x = ranked.where("short").select("s", *[F.col(c).alias(f"x_{c}") for c in ("class", "root", "n", "rank")])
-    y = ranked.select("s", *[F.col(c).alias(f"y_{c}") for c in ("class", "root", "n", "rank")])
+    # The keys just before, so that a pair is made at its first common key alone.
+    before = F.collect_list("s").over(W.partitionBy("class").orderBy("rank").rowsBetween(-16, -1))
+    ranked = materialize(ranked.withColumn("before", before).withColumn("short", F.col("rank") <= F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1).select("s", "class", "root", "n", "rank", "before", "short"), "prefixes")
+    x = ranked.where("short").select("s", *[F.col(c).alias(f"x_{c}") for c in ("class", "root", "n", "rank", "before")])
+    y = ranked.select("s", *[F.col(c).alias(f"y_{c}") for c in ("class", "root", "n", "rank", "before")])
     needed = F.ceil((F.col("x_n") + F.col("y_n")) * (t / (1 + t)) - 1e-9)
     reach = 1 + F.least(F.col("x_n") - F.col("x_rank"), F.col("y_n") - F.col("y_rank"))
     ordered = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_class") < F.col("y_class")))
-    met = x.join(y, (x["s"] == y["s"]) & ordered & (F.col("x_root") != F.col("y_root")) & (F.col("x_n") >= F.col("y_n") * t - 1e-9) & (reach >= needed))
+    met = x.join(y, (x["s"] == y["s"]) & ordered & (F.col("x_root") != F.col("y_root")) & (F.col("x_n") >= F.col("y_n") * t - 1e-9) & (reach >= needed) & ~F.arrays_overlap("x_before", "y_before"))
     return met.select(F.col("x_class").alias("a"), F.col("y_class").alias("b")).distinct()
 
 
@@ -206,6 +208,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     component_id: smallest doc_id reachable over links of ``percent`` similarity or more; kept: it is its own.
     """
+    ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     signed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     signed = materialize(signed.mapInArrow(_signatures(words, seed), "doc_id long, text_key long, n_shingles long, class binary, sig binary, bands array<bigint>"), "signatures")
