@@ -35,8 +35,8 @@ from formbook.llm.common import materialize, ship
 
 WINDOW, END_ID, GRAIN, DEPTH = 2048, 1, 16, 3
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-#: Words whose ids a Python worker keeps: bounds its memory alone; other words are encoded again.
-CACHED_WORDS = 400_000
+#: Words, and parts of words, whose ids a Python worker keeps: they bound its memory alone; others are encoded again.
+CACHED_WORDS, CACHED_PARTS = 300_000, 700_000
 
 
 class WordEncoder:
@@ -90,16 +90,24 @@ class WordEncoder:
         known = self.words
         new = [w for w in words if w not in known]
         if len(known) + len(new) > CACHED_WORDS:
-            known, self.parts = {w: known[w] for w in words if w in known}, {}
-            self.words = known
-        split = {}
+            self.words = known = {w: known[w] for w in words if w in known}
+        if len(self.parts) > CACHED_PARTS:
+            self.parts = {}
+        match, parts = self.plain.fullmatch, self.parts
+        heads, tails = [], []
         for w in new:
-            m = self.plain.fullmatch(w)
-            split[w] = (m[1].lower(), m[2]) if m else (w,)
-        missing = {p for ps in split.values() for p in ps if p} - self.parts.keys()
-        self._encode(sorted(missing))
-        self.parts[""] = b""
-        known.update((w, b"".join([self.parts[p] for p in ps])) for w, ps in split.items())
+            tail = ""
+            if w.isascii() and w.isalpha():
+                w = w.lower()
+            elif m := match(w):
+                w, tail = m[1].lower(), m[2]
+            heads.append(w)
+            tails.append(tail)
+        parts[""] = b""
+        missing = set(heads)
+        missing.update(tails)
+        self._encode([p for p in missing if p not in parts])
+        known.update(zip(new, [parts[h] + parts[t] if t else parts[h] for h, t in zip(heads, tails, strict=True)], strict=True))
         return known
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
