@@ -41,3 +41,41 @@ def _replay(rows: pd.DataFrame) -> pd.DataFrame:
         home_out.append(x), away_out.append(y), probability.append(p)
         rating[h], rating[a] = x + k * (won - p), y - k * (won - p)
     return pd.DataFrame({"pool": rows["pool"], "config": rows["config"], "game_pk": rows["game_pk"], "home_elo": home_out, "away_elo": away_out, "home_probability": probability})
+
+
+def seed(ratings: DataFrame, regression: float = REGRESSION) -> DataFrame:
+    """Ratings for a new season: regressed to the mean, their games counted anew."""
+    return ratings.withColumns({"rating": START + (1 - regression) * (F.col("rating") - START), "games": F.lit(0).cast("long")})
+
+
+def ratings_after(games: DataFrame, state: DataFrame | None = None, pool: str | None = None) -> DataFrame:
+    """(pool, team_id, rating, games) after applying ``games`` to ``state``; teams without games keep their rating.
+
+    Only new games and one row per team of a pool meet in its task. Games of a state must be of one season, or begin with the state's.
+    """
+    key = F.col(pool).cast("string") if pool else F.lit("all")
+    slim = games.where("home_score IS NOT NULL AND away_score IS NOT NULL").select(
+        key.alias("pool"), F.unix_date("game_date").alias("day"), "game_pk", "season", "home_team_id", "away_team_id", (F.col("home_score") > F.col("away_score")).cast("double").alias("result")
+    )
+    if state is None:
+        state = games.sparkSession.createDataFrame([], STATE)
+    return slim.groupBy("pool").cogroup(state.select("pool", "team_id", "rating", "games").groupBy("pool")).applyInPandas(_advance, STATE)
+
+
+STATE = "pool string, team_id long, rating double, games long"
+
+
+def _advance(key: tuple, rows: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
+    rating = dict(zip(state["team_id"], state["rating"], strict=True))
+    played = dict(zip(state["team_id"], state["games"], strict=True))
+    season = None
+    for _, _, s, h, a, won in rows.sort_values(["day", "game_pk"])[["day", "game_pk", "season", "home_team_id", "away_team_id", "result"]].itertuples(index=False):
+        if season is not None and s != season:
+            rating = {t: START + (1 - REGRESSION) * (r - START) for t, r in rating.items()}
+        season = s
+        x, y = rating.get(h, START), rating.get(a, START)
+        p = 1 / (1 + 10 ** ((y - x - BONUS) / 400))
+        rating[h], rating[a] = x + K * (won - p), y - K * (won - p)
+        played[h], played[a] = played.get(h, 0) + 1, played.get(a, 0) + 1
+    teams = sorted(rating)
+    return pd.DataFrame({"pool": [key[0]] * len(teams), "team_id": teams, "rating": [rating[t] for t in teams], "games": [played[t] for t in teams]})

@@ -512,9 +512,15 @@ def z2_elo_grid(spark, d):
     return met.groupBy("config").agg(F.count(F.lit(1)).alias("n"), r6(F.avg(((F.col("home_probability") >= 0.5).cast("int") == F.col("won")).cast("int")), "accuracy"), r6(F.avg(F.pow(F.col("home_probability") - F.col("won"), F.lit(2))), "brier"))
 
 
+def _register_all() -> None:
+    from formbook.plans import features, live  # noqa: F401  they register themselves with this module
+
+
 def queries() -> dict[str, Query]:
+    _register_all()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _register_all()
     return dict(_SQL)

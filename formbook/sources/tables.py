@@ -12,8 +12,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per game, from ``orders``."""
+    return as_games(table(spark, sf_dir, "orders"))
+
+
+def as_games(orders: DataFrame) -> DataFrame:
     key, cust, price = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")
-    return table(spark, sf_dir, "orders").select(
+    return orders.select(
         key.alias("game_pk"), F.to_date("o_orderdate").alias("game_date"), F.year("o_orderdate").cast("long").alias("season"),
         (cust % 30).alias("home_team_id"), ((cust + 1 + key % 29) % 30).alias("away_team_id"),
         (F.floor(price) % 11).alias("home_score"), (F.floor(price / 11) % 11).alias("away_score"),
@@ -23,10 +27,14 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per pitch, from ``events``."""
+    return as_pitches(table(spark, sf_dir, "events"))
+
+
+def as_pitches(events: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("long")
     user = F.col("user_id")
     event = F.create_map(*[F.lit(x) for kv in {"purchase": "home_run", "signup": "single", "click": "walk", "error": "strikeout", "view": "field_out"}.items() for x in kv])
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_id").alias("pitch_id"), (user % 50).alias("pitcher"), k.alias("batter"), F.to_date("ts").alias("game_date"), "ts",
         event[F.col("event_type")].alias("events"), F.col("value").alias("release_speed"),
         F.when(user % 3 == 0, "L").otherwise("R").alias("p_throws"), F.when(k % 2 == 0, "L").otherwise("R").alias("stand"),
