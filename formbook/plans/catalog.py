@@ -513,7 +513,7 @@ def z2_elo_grid(spark, d):
 
 
 def _register_all() -> None:
-    from formbook.plans import features, live  # noqa: F401  they register themselves with this module
+    from formbook.plans import features, learned, live  # noqa: F401  they register themselves with this module
 
 
 def queries() -> dict[str, Query]:

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from formbook.functions import scalars as S
-from formbook.operators import dedup, elo, lineup, reshape, splits
+from formbook.operators import dedup, elo, lineup, reports, reshape, splits
 from formbook.operators import windows as win
 from formbook.plans.catalog import ALL_T, G, P, T, r6, register, season_order, team_order, team_rows, weight
 from formbook.sources.tables import games, pitches, predictions
@@ -242,3 +242,19 @@ def z5_lineup_projection(spark, d):
     seen = p.groupBy((F.col("pitcher") % 10).alias("team_id"), "game_date", "game_pk", F.col("batter").alias("player_id")).agg(F.min(1 + F.col("pitch_id") % 9).cast("int").alias("batting_order"))
     last = p.agg(F.date_add(F.max("game_date"), 1).alias("target_date"))  # one row
     return lineup.project(seen.join(F.broadcast(last)), ["team_id"])
+
+
+@register(
+    f"""WITH {P}, b AS (SELECT game_pk, batter, count(*) AS pa, count(*) FILTER (events IN ('single', 'home_run')) AS hits FROM p WHERE batter IS NOT NULL GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY game_pk ORDER BY hits DESC, batter) AS rn FROM b)
+ SELECT game_pk, string_agg(batter || ':' || hits || '/' || pa, ',' ORDER BY rn) AS best FROM r WHERE rn <= 3 GROUP BY 1"""
+)
+def m30_m31_report(spark, d):
+    """Reports of all games, and from their JSON the three best batters of each."""
+    p = pitches(spark, d).where("batter IS NOT NULL")
+    batters = p.groupBy("game_pk", "batter").agg(F.count(F.lit(1)).alias("pa"), F.count_if(F.col("events").isin("single", "home_run")).alias("hits"))
+    top = reports.section(dedup.top_k(batters, ["game_pk"], [F.desc("hits"), F.asc("batter")], 3), "game_pk", "batters", ["batter", "hits", "pa"], ["rank"])
+    per_arm = p.groupBy("game_pk", "pitcher").agg(F.count(F.lit(1)).alias("n"))
+    arms = reports.section(per_arm, "game_pk", "pitchers", ["pitcher", "n"], ["pitcher"])
+    report = reports.assemble(p.select("game_pk").distinct(), "game_pk", [top, arms])
+    read = F.from_json("report", "batters array<struct<batter: bigint, hits: bigint, pa: bigint>>")["batters"]
+    return report.select("game_pk", F.array_join(F.transform(read, lambda x: F.concat(x["batter"], F.lit(":"), x["hits"], F.lit("/"), x["pa"])), ",").alias("best"))

@@ -10,7 +10,8 @@ from formbook.streaming import pitches as live
 
 
 def feed(spark, d):
-    return as_pitches(live.source(spark, f"{d}/events.parquet"))
+    events = live.source(spark, f"{d}/events.parquet")
+    return as_pitches(events.withColumn("ts", F.col("ts").cast("timestamp")))  # watermarks need an instant
 
 
 @register(f"WITH {P} SELECT pitch_id, pitcher, game_pk, events FROM p")

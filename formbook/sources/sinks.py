@@ -4,10 +4,23 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under spark.checkpoint.dir; under the warehouse where that is not set."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/formbook-{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """``df`` as a table in the shared folder: for frames that several jobs read, safe from lost executors."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def align(df: DataFrame, like: DataFrame) -> DataFrame:
     """Additive schema evolution: columns of ``like`` that are missing come as typed nulls, in its order; new ones follow."""
     missing = {f.name: F.lit(None).cast(f.dataType) for f in like.schema if f.name not in df.columns}

@@ -6,7 +6,6 @@ Every function takes a streaming frame and returns one; they run on batches as w
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -22,7 +21,9 @@ EVENT_KEY = ["game_pk", "pitcher", "batter", "game_date", "events"]
 
 def source(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
     """A landed Parquet folder (or file) as a stream; what a trigger takes is bounded."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+    # written as a pattern, since a stream takes a path without one for a folder
+    pattern = f"{path[:-1]}[{path[-1]}]"
+    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_trigger).parquet(pattern)
 
 
 def ingest(stream: DataFrame, keys: list[str] = EVENT_KEY, late: str = "2 days") -> DataFrame:
@@ -84,15 +85,9 @@ def _rate(key: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataF
     yield pd.DataFrame(out, columns=["pool", "game_pk", "home_elo", "away_elo", "accepted"])
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir; under the warehouse where that is not set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/streams"
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Run a stream over all that has landed and return what it wrote; mode complete keeps the last whole answer."""
-    spark, home = stream.sparkSession, shared_folder(stream.sparkSession)
+    spark, home = stream.sparkSession, sinks.shared_folder(stream.sparkSession, "stream")
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{home}/state").trigger(availableNow=True)
     if mode == "append":
         query = writer.format("parquet").option("path", f"{home}/out").start()
@@ -104,7 +99,7 @@ def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
 
 def drain_upsert(stream: DataFrame, keys: list[str], by: str, path: str | None = None) -> DataFrame:
     """Changed rows of each trigger replace those of their keys; a trigger that runs twice changes nothing."""
-    spark, home = stream.sparkSession, shared_folder(stream.sparkSession)
+    spark, home = stream.sparkSession, sinks.shared_folder(stream.sparkSession, "stream")
     path = path or f"{home}/table"
 
     def apply(batch: DataFrame, number: int) -> None:
