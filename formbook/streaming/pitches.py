@@ -19,11 +19,16 @@ from formbook.sources import sinks
 EVENT_KEY = ["game_pk", "pitcher", "batter", "game_date", "events"]
 
 
-def source(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
-    """A landed Parquet folder (or file) as a stream; what a trigger takes is bounded."""
+def source(spark: SparkSession, path: str, files_per_trigger: int | None = 1000) -> DataFrame:
+    """A landed Parquet folder (or file) as a stream; what a trigger takes is bounded.
+
+    With None one trigger takes all files: files come in the order they landed, so a replay of a table over
+    several triggers would take the older events of later files for late ones.
+    """
     # written as a pattern, since a stream takes a path without one for a folder
     pattern = f"{path[:-1]}[{path[-1]}]"
-    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_trigger).parquet(pattern)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).parquet(pattern)
 
 
 def ingest(stream: DataFrame, keys: list[str] = EVENT_KEY, late: str = "2 days") -> DataFrame:
