@@ -5,9 +5,14 @@ Every function takes a streaming frame and returns one; they run on batches as w
 
 from __future__ import annotations
 
+import heapq
 import json
+import os
+import tempfile
 from collections.abc import Iterator
+from itertools import pairwise
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +60,8 @@ def enrich(stream: DataFrame, dimension: DataFrame, keys: list[str]) -> DataFram
 
 
 RATED = "pool string, game_pk long, home_elo double, away_elo double, accepted boolean"
+#: Games that a trigger sorts in memory at once; more are sorted in runs of so many, in a temporary file of the task.
+RUN = 500_000
 
 
 def live_ratings(stream: DataFrame, pool: str | None = None) -> DataFrame:
@@ -63,31 +70,68 @@ def live_ratings(stream: DataFrame, pool: str | None = None) -> DataFrame:
     The games of a trigger are applied in (day, game) order; a game dated before the last applied day comes out
     with ``accepted`` false and null ratings, to be replayed in batch.
     """
-    key = F.col(pool).cast("string") if pool else F.lit("all")
-    slim = stream.where("home_score IS NOT NULL AND away_score IS NOT NULL").select(
-        key.alias("pool"), F.unix_date("game_date").alias("day"), "game_pk", "season", "home_team_id", "away_team_id", (F.col("home_score") > F.col("away_score")).cast("double").alias("result")
-    )
-    return slim.groupBy("pool").applyInPandasWithState(_rate, RATED, "state string", "append", GroupStateTimeout.NoTimeout)
+    return elo.results(stream, pool).groupBy("pool").applyInPandasWithState(_rate, RATED, "state string", "append", GroupStateTimeout.NoTimeout)
+
+
+SLIM = np.dtype([("day", "i8"), ("game_pk", "i8"), ("season", "i8"), ("home_team_id", "i8"), ("away_team_id", "i8"), ("result", "f8")])
+UNKNOWN = np.iinfo(np.int64).max  # a null game_pk, which comes last
+
+
+def _in_order(parts: Iterator[pd.DataFrame], run: int) -> Iterator[tuple]:
+    """The games of all parts by (day, game); memory holds one run, or a block of every run."""
+    names = list(SLIM.names)
+
+    def block(part: pd.DataFrame) -> np.ndarray:
+        if part[names].drop(columns="game_pk").isna().any(axis=None):
+            raise ValueError("a game without a date, season or team cannot be rated")
+        rows = np.empty(len(part), SLIM)
+        for name in names:
+            rows[name] = part[name].fillna(0)
+        rows["game_pk"][part["game_pk"].isna()] = UNKNOWN
+        return rows
+
+    def by_time(held: list[np.ndarray]) -> np.ndarray:
+        rows = np.concatenate(held)
+        return rows[np.lexsort((rows["game_pk"], rows["day"]))]
+
+    def stored(at: int, end: int, step: int) -> Iterator[tuple]:
+        for i in range(at, end, step):
+            yield from np.frombuffer(os.pread(file.fileno(), SLIM.itemsize * (min(i + step, end) - i), SLIM.itemsize * i), SLIM).tolist()
+
+    with tempfile.TemporaryFile() as file:
+        held, count, ends = [], 0, [0]
+        for part in parts:
+            held.append(block(part))
+            count += len(part)
+            if count >= run:
+                file.write(by_time(held).data)
+                ends.append(ends[-1] + count)
+                held, count = [], 0
+        file.flush()
+        runs = [stored(at, end, max(1, run // len(ends))) for at, end in pairwise(ends)]
+        if held:
+            runs.append(iter(by_time(held).tolist()))
+        yield from heapq.merge(*runs, key=lambda r: r[:2])
 
 
 def _rate(key: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
     kept = json.loads(state.get[0]) if state.exists else {"ratings": {}, "day": None, "season": None}
-    rating = {int(t): r for t, r in kept["ratings"].items()}
-    day, season, out = kept["day"], kept["season"], []
-    floor = day
-    for r in pd.concat(list(parts)).sort_values(["day", "game_pk"]).itertuples():
-        if floor is not None and r.day < floor:
-            out.append((key[0], r.game_pk, None, None, False))
-            continue
-        if season is not None and r.season != season:
-            rating = {t: elo.START + (1 - elo.REGRESSION) * (x - elo.START) for t, x in rating.items()}
-        day, season = int(r.day), int(r.season)
-        x, y = rating.get(r.home_team_id, elo.START), rating.get(r.away_team_id, elo.START)
-        p = 1 / (1 + 10 ** ((y - x - elo.BONUS) / 400))
-        out.append((key[0], r.game_pk, x, y, True))
-        rating[r.home_team_id], rating[r.away_team_id] = x + elo.K * (r.result - p), y - elo.K * (r.result - p)
-    state.update((json.dumps({"ratings": {str(int(t)): x for t, x in rating.items()}, "day": day, "season": season}),))
-    yield pd.DataFrame(out, columns=["pool", "game_pk", "home_elo", "away_elo", "accepted"])
+    ratings = elo.Ratings(rating={int(t): r for t, r in kept["ratings"].items()}, season=kept["season"])
+    floor = day = kept["day"]
+    columns, out = ["pool", "game_pk", "home_elo", "away_elo", "accepted"], []
+    for at, game, season, home, away, result in _in_order(parts, RUN):
+        game = None if game == UNKNOWN else game
+        if floor is not None and at < floor:
+            out.append((key[0], game, None, None, False))
+        else:
+            day = at
+            x, y, _ = ratings.play(season, home, away, result)
+            out.append((key[0], game, x, y, True))
+        if len(out) == elo.BATCH:
+            yield pd.DataFrame(out, columns=columns)
+            out = []
+    state.update((json.dumps({"ratings": {str(t): x for t, x in ratings.rating.items()}, "day": day, "season": ratings.season}),))
+    yield pd.DataFrame(out, columns=columns)
 
 
 def drain(stream: DataFrame, mode: str = "append") -> DataFrame:

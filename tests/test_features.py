@@ -5,6 +5,8 @@ import json
 import os
 
 import duckdb
+import numpy as np
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -157,3 +159,33 @@ def test_replays_of_many_files_are_whole(spark, tmp_path, monkeypatch):
     rated = catalog.queries()["t5_live_ratings"](spark, str(tmp_path)).collect()
     assert all(r.accepted for r in rated)
     assert plain(r[:3] for r in rated) == plain(catalog.queries()["z1_elo_replay"](spark, SF).select("game_pk", "home_elo", "away_elo").collect())
+
+
+def test_replay_holds_no_whole_pool(spark):
+    """A pool larger than an Arrow batch: sorted by Spark, taken batch by batch, equal to a loop over it."""
+    rows = [(i * 37 % 500, day(i * 37 % 500 // 3), 2023 + i * 37 % 500 // 200, i % 5, (i + 1 + i % 4) % 5, i * 7 % 11, i * 5 % 11, "ab"[i % 2]) for i in range(500)]
+    g = spark.createDataFrame(rows, GAMES + ", pool string")
+    want, last = {}, {}
+    for p in "ab":
+        loop, played = elo.Ratings(), {}
+        for pk, _, s, h, a, x, y, _ in sorted((r for r in rows if r[7] == p), key=lambda r: (r[1], r[0])):
+            want[pk] = loop.play(s, h, a, float(x > y))
+            played[h], played[a] = played.get(h, 0) + (s == 2025), played.get(a, 0) + (s == 2025)
+        last |= {(p, t): (r, played[t]) for t, r in loop.rating.items()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        replayed, after = elo.replay(g, pool="pool"), elo.ratings_after(g.where("season = 2025"), elo.seed(elo.ratings_after(g.where("season < 2025"), pool="pool")), pool="pool")
+        assert {r.game_pk: (r.home_elo, r.away_elo, r.home_probability) for r in replayed.collect()} == want
+        assert {(r.pool, r.team_id): (r.rating, r.games) for r in after.collect()} == {k: pytest.approx(v) for k, v in last.items()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for frame in (replayed, after):
+        assert "GroupsInPandas" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_trigger_is_sorted_in_runs():
+    rng = np.random.default_rng(0)
+    frame = pd.DataFrame({c: rng.integers(0, 40, 1000) for c in live.SLIM.names}).assign(game_pk=rng.permutation(1000))
+    found = list(live._in_order((frame[i : i + 30] for i in range(0, 1000, 30)), 64))
+    assert found == list(frame.sort_values(["day", "game_pk"]).itertuples(index=False, name=None))
+    assert list(live._in_order(iter([]), 64)) == []
