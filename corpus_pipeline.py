@@ -41,7 +41,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of 2048."""
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), special=True)
 
 
 STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mixing", mixing), ("packing", packing)]

@@ -44,16 +44,18 @@ class WordEncoder:
 
     Words are looked up; those not met before are encoded together. Plain words (letters, then
     punctuation) are encoded by their parts: each part of letters ends with exactly one id whose
-    token closes a word, which tells the joint encoding apart again.
+    token closes a word, which tells the joint encoding apart again. With ``special`` the literal text of an added
+    token is that token, as in the tokenizer's plain call: it holds no white space, so it is inside one word, and such a
+    word is encoded by itself. Without, it is text like any other.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         import re
 
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(vocab.values()) + 1, bool)
         self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
@@ -121,14 +123,14 @@ class WordEncoder:
             yield np.frombuffer(b"".join(map(known.__getitem__, x)), np.uint16)
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
 
 
-def _pieces(tokenizer: str, window: int, end_id: int):
+def _pieces(tokenizer: str, window: int, end_id: int, special: bool):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
-        encoder = _ENCODERS.get(tokenizer) or _ENCODERS.setdefault(tokenizer, WordEncoder(tokenizer))
+        encoder = _ENCODERS.get((tokenizer, special)) or _ENCODERS.setdefault((tokenizer, special), WordEncoder(tokenizer, special))
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
@@ -209,12 +211,15 @@ def plan(histogram: dict[int, int], bins: int, depth: int) -> list[tuple[tuple[i
     return chosen
 
 
-def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = END_ID, grain: int = GRAIN, depth: int = DEPTH) -> DataFrame:
-    """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = END_ID, grain: int = GRAIN, depth: int = DEPTH, special: bool = False) -> DataFrame:
+    """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    ``special``: the literal text of an added token, like <|endoftext|>, gets that token's id.
+    """
     spark = docs.sparkSession
     ship(spark)
     bins = window // grain
-    pieces = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_pieces(tokenizer, window, end_id), PIECES)
+    pieces = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_pieces(tokenizer, window, end_id, special), PIECES)
     order = F.xxhash64("doc_id", "start", "length", "ids_crc32")
     pieces = pieces.withColumn("order", order).withColumn("bin", F.ceil(F.col("length") / grain).cast("int")).withColumn("range", F.shiftrightunsigned("order", 54).cast("int"))
     pieces = materialize(pieces, "pieces")

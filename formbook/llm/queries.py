@@ -36,7 +36,7 @@ def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), special=True)
 
 
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -119,6 +119,23 @@ def test_packing_round_trip(spark):
     assert packing.pack(frame.limit(0), BPE).count() == 0
 
 
+def test_special_tokens_as_the_plain_call(spark, tmp_path):
+    """The registered query and the pipeline's stage on documents that hold the literal text of added tokens."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from formbook.llm import queries
+
+    tokenizer = Tokenizer.from_file(BPE)
+    texts = ["end here <|endoftext|> next", "a<|endoftext|>b", "(<|startoftext|><|endoftext|>)", "<|ENDOFTEXT|> <|endoftext| endoftext|>", "Don<|endoftext|>'t é<|endoftext|>\u0301", "plain words"]
+    frame = docs(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    want = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+    assert want[0] == [806, 763, 49407, 1131, 1]
+    for got in (queries.op3_packing(spark, str(tmp_path)), corpus_pipeline.packing(spark, frame, str(tmp_path))):
+        assert {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in got.collect()} == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in want.items()}
+
+
 def test_plan_uses_every_piece_once():
     rng = np.random.default_rng(0)
     for trial in range(6):
