@@ -19,7 +19,8 @@ the corpus shares gives one row per member and band, counted with partial aggreg
 
 Edge cases: a document without words (null, empty or blank text) has 0 shingles
 and is linked with nothing; a null doc_id gets its class's component; rows that repeat a doc_id are separate
-members of one class or, with other texts, of several; an empty table gives an
+members of one class or, with other texts, of several; ``keep_first`` keeps one row of each component, and one with a
+null id only where the component has no other; an empty table gives an
 empty result. Extra columns are not read. Very long texts are hashed whole, in blocks.
 """
 
@@ -203,11 +204,8 @@ def prefix_pairs(members: DataFrame, percent: int) -> DataFrame:
     return met.select(F.col("x_class").alias("a"), F.col("y_class").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, seed: int = 7) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row.
-
-    component_id: smallest doc_id reachable over links of ``percent`` similarity or more; kept: it is its own.
-    """
+def rooted_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, seed: int = 7) -> DataFrame:
+    """(doc_id, text_key, n_shingles, root) of every row; rows of one root are one component, and a row without words has none."""
     ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     signed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
@@ -231,9 +229,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     more = materialize(confirmed(prefix_pairs(members.join(sets, "class"), percent), sets, percent), "links-rest")
     if more.head(1):
         roots = materialize(components(reduce(DataFrame.unionByName, [links, more])), "roots")
-    rows = signed.select("doc_id", "n_shingles", "class")
+    rows = signed.select("doc_id", "text_key", "n_shingles", "class")
     rows = rows.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    rows = materialize(rows.select("doc_id", "n_shingles", "root"), "rooted")
+    return materialize(rows.select("doc_id", "text_key", "n_shingles", "root"), "rooted")
+
+
+def near_duplicates(docs: DataFrame, **how) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row.
+
+    component_id: smallest doc_id reachable over links of ``percent`` similarity or more; kept: it is its own.
+    """
+    rows = rooted_rows(docs, **how).drop("text_key")
     least = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     out = rows.join(least, "root", "left")
     alone = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
@@ -241,6 +247,26 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def keep_first(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` without the documents that a smaller doc_id of their component stands for."""
-    gone = near_duplicates(docs, **how).where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(how.get("id_col", "doc_id")) == F.col("_gone"), "left_anti")
+    """One row of every component of ``docs``, that of the smallest doc_id; null ids come last. Rows without words stay.
+
+    A row is known by its doc_id and the hash of its text, so that texts that share a doc_id are told apart; of
+    rows that repeat both, one stays.
+    """
+    keys = rooted_rows(docs, **how).where("root is not null").groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    keys = materialize(keys, "keys")
+    first = keys.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key", "n")).alias("first")).select("first.*")
+    first = materialize(first.select("doc_id", "text_key", "n"), "first")
+
+    def named(rows: DataFrame) -> DataFrame:
+        return rows.select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"))
+
+    def met(left: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+        return left.join(named(rows), same(F.col(id_col), F.col("_doc_id")) & (F.col("_key") == F.col("_text_key")), how)
+
+    id_col, text_col = how.get("id_col", "doc_id"), how.get("text_col", "text")
+    gone = keys.join(named(first), same(F.col("doc_id"), F.col("_doc_id")) & (F.col("text_key") == F.col("_text_key")), "left_anti")
+    out = met(docs.withColumn("_key", F.xxhash64(text_col)), gone, "left_anti")
+    again = first.where("n > 1")
+    if again.head(1):
+        out = met(out, again, "left_anti").unionByName(met(out, again, "left_semi").dropDuplicates([id_col, "_key"]))
+    return out.drop("_key")

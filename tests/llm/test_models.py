@@ -192,6 +192,17 @@ def test_near_duplicates(spark):
     assert minhash.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_keep_first_keeps_one_row_of_each_component(spark):
+    """Repeated ids, null ids, and an id of two texts of which one is a near copy."""
+    a, b, c, d, e = (" ".join(prose(50 + i, 120)) for i in range(5))
+    rows = [(1, a), (1, a), (2, a + " more"), (3, a), (3, d), (None, a), (7, b), (None, b), (None, b), (None, c), (None, c), (9, e), (9, e), (8, e), (8, e), (20, ""), (20, ""), (None, None), (None, " ")]
+    frame = docs(spark, [(i, t, "s") for i, t in rows]).repartition(3)
+    out = minhash.keep_first(frame, words=5)
+    assert out.columns == frame.columns
+    want = [(1, a), (3, d), (7, b), (None, c), (8, e), (20, ""), (20, ""), (None, None), (None, " ")]
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(want, key=str)
+
+
 def test_prefix_join_is_exact(spark):
     """Links that no star finds: members of one bucket are paired by the prefix join alone."""
     rng = random.Random(8)
