@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -87,15 +89,62 @@ def test_secrets_base_spans(spark):
     assert spans[7] == "entropy:0:32" and "entropy" not in spans[8]
 
 
+def window_bits(s, w=secrets.WINDOW):
+    return max((-sum(c / w * math.log2(c / w) for c in Counter(s[i : i + w]).values()) for i in range(len(s) - w + 1)), default=0.0)
+
+
+def entropy_spans(text):
+    """Brute force: every candidate, every window, every base span."""
+    found, taken = [], base(text)
+    for m in re.finditer(secrets.CANDIDATE, text):
+        c = m[0]
+        if any(a < m.end() and m.start() < b for a, _, b in taken) or any(re.fullmatch(p, c) for p in secrets.ALLOWED):
+            continue
+        parts = re.split("[/_=+-]+", c)
+        if len(parts) > 1 and all(re.fullmatch("[A-Za-z]{0,20}[0-9]{0,8}", x) for x in parts):
+            continue
+        if 2 * len(re.sub(secrets.PLACEHOLDER, "", c)) < len(c):
+            continue
+        need = next((bits for p, bits in secrets.THRESHOLDS.items() if re.fullmatch(p, c)), None)
+        if need is not None and window_bits(c) >= need:
+            found.append((m.start(), 3, m.end()))
+    return sorted(found)
+
+
+def test_secrets_entropy_spans(spark):
+    rng = random.Random(8)
+    piece = [
+        lambda: "".join(rng.choice("abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNP0123456789+/") for _ in range(rng.randrange(15, 60))),
+        lambda: "".join(rng.choice("0123456789abcdef") for _ in range(rng.randrange(18, 30))), lambda: "".join(rng.choice("0123456789ABCDEF") for _ in range(32)),
+        lambda: "token=", lambda: "example0000" * rng.randrange(1, 4), lambda: "a/long/path_to/some-file2/", lambda: " ", lambda: "\n", lambda: "é", lambda: "secret: 'x", lambda: "getElementByIdentifierName",
+        lambda: "123e4567-e89b-12d3-a456-426614174000", lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(40)),
+    ]
+    texts = ["".join(rng.choice(piece)() + rng.choice(["", " "]) for _ in range(rng.randrange(1, 60))) for _ in range(150)]
+    got = {r.doc_id: r.spans for r in secrets.secret_report(docs(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    hits = 0
+    for i, t in enumerate(texts):
+        own = entropy_spans(t)
+        hits += len(own)
+        assert got[i] == ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(base(t) + own)), t
+    assert hits > 100
+
+
+def test_secrets_time_follows_the_text(spark):
+    """A text of 1 MB with 50,000 matches is a matter of seconds."""
+    rng = random.Random(9)
+    text = "\n".join(f"token={rng.randrange(10**9):09d}" + (" Zk9Lm2Qx7Rt4Vb8Nw1Ps6" if i % 10 == 0 else "") for i in range(50_000))
+    frame = docs(spark, [(1, text, "s")])
+    began = time.time()
+    r = secrets.secret_report(frame).first()
+    assert time.time() - began < 60 and r.n_assign == 50_000 and r.spans.count("entropy") == 5_000
+
+
 def test_window_entropy(spark):
     words = ["k9Zq3LmX0vTt7RbYw2Pe5HsN8uGd1CfJ", "a" * 30 + "1", "ab" * 40, "abcdefghij0123456789", "x" * 25 + "k9Zq3LmX0vTt7RbYw2Pe" + "y" * 30]
 
-    def best(s, w=secrets.WINDOW):
-        return max((-sum(c / w * math.log2(c / w) for c in Counter(s[i : i + w]).values()) for i in range(len(s) - w + 1)), default=0.0)
-
     frame = spark.createDataFrame([(w,) for w in words], "w string")
     for r in frame.select("w", secrets.best_entropy(F.col("w")).alias("e")).collect():
-        assert r.e == pytest.approx(best(r.w), abs=1e-9)
+        assert r.e == pytest.approx(window_bits(r.w), abs=1e-9)
 
 
 def test_natives_on_empty_tables(spark):
