@@ -298,6 +298,48 @@ def test_gif_rules():
     assert [f[3].canvas[i, 0].tolist() for i in range(4)] == [[0, 0, 0, 255], green, red, blue]  # interlaced: rows 0, 2, 1, 3
 
 
+def test_streams_go_through_the_dictionary():
+    text = " ".join(prose(4, 4000)).encode()
+    payload = media.payload_of(text.decode())
+    stored = media.encode_gif(payload)
+    assert len(stored) < 0.7 * len(payload)
+    size = max(2, len(set(payload)).bit_length())
+    stream = media.lzw_encode(payload[:60000].translate(bytes(sorted(set(payload)).index(b) if b in payload else 0 for b in range(256))), size)
+    # Fewer codes than samples: each code past the literals and the two marks is an entry of the dictionary.
+    assert 8 * len(stream) / (size + 1) < 60000 / 1.5
+    for wild in (bytes(range(256)) * 700, bytes(64), b"ab" * 40000, bytes([255]) * 64 * 5000):
+        assert b"".join(f.canvas[f.box[1] : f.box[1] + f.box[3], :, 0].tobytes() for f in media.decode_gif(media.encode_gif(wild))) == wild
+
+
+def test_repeated_frames_are_drawn_over_with_transparency(spark):
+    rng = random.Random(6)
+    segment = "".join(rng.choice("abcdefgh \n") for _ in range(media.WIDTH * media.HEIGHT))
+    changed = "".join("X" if i % 9 == 0 else c for i, c in enumerate(segment))
+    text = segment + changed + segment[::-1] + segment[:1000]
+    raw = media.encode_gif(media.payload_of(text))
+    shown = list(media.decode_gif(raw))
+    control = [raw[i + 3] for i in range(len(raw)) if raw[i : i + 3] == b"\x21\xf9\x04"][:1]
+    assert len(shown) == 4 and control == [1 << 2]  # the first frame stays, for the second is drawn over it
+    assert raw.count(b"\x21\xf9\x04" + bytes([2 << 2 | 1])) >= 1  # the second is transparent in part, and disposed to the background
+    plain = media.encode_gif(media.payload_of(changed))
+    assert len(raw) < 2 * len(media.encode_gif(media.payload_of(segment))) + 2 * len(plain)
+    r = media.media_report(docs(spark, [(1, text, "s"), (2, "short", "s")])).where("doc_id = 1").first()
+    import hashlib
+
+    payload = media.payload_of(text)
+    assert r.payload_sha256 == hashlib.sha256(payload).hexdigest() and [f.height for f in r.frames] == [1024, 1024, 1024, -(-1000 // 64)]
+    assert [sum(f.histogram) for f in r.frames] == [f.height * 64 for f in r.frames] and r.feature.startswith("frames=4;ms=400;hist=")
+
+
+def test_broken_streams_stop():
+    stream = media.lzw_encode(bytes([1, 2, 1, 2, 1, 2, 3] * 500), 2)
+    whole = bytes([1, 2, 1, 2, 1, 2, 3] * 500)
+    for cut in (0, 1, 5, len(stream) // 2):
+        got = media.lzw_decode(stream[:cut], 2, 3500)
+        assert whole.startswith(got)
+    assert media.lzw_decode(b"\xff" * 50, 2, 100) == b""
+
+
 def test_media_report(spark):
     rows = [(1, None, "s"), (2, "", "s"), (3, "héllo", "s"), (4, "x" * 300000, "s"), (5, "".join(map(chr, range(1, 3000))), None), (3, "héllo", "s"), (None, "n", "s")]
     got = media.media_report(docs(spark, rows).withColumn("media", F.lit(0))).collect()
