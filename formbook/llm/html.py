@@ -1,10 +1,15 @@
 """HTML extraction by tree scoring.
 
-A page is parsed into a light tree. Parts that are never article text (menus, page headers, footers,
-sidebars, notices, adverts, forms, scripts, styles, reader comments) are cut off. Each paragraph then
-gives points for its length and its commas to its ancestors, less with each level; a container's
-points are discounted by its link density. The best container is kept (or the article around it),
-with those siblings that score well themselves or read like its paragraphs and headings.
+A page is parsed into a light tree, and elements whose tag, role or state says that they hold no article text
+(menus, page headers, footers, sidebars, forms, dialogs, scripts, styles, hidden parts) are cut off. Then
+
+1. each paragraph gives points for its length and its commas to its ancestors, less with each level; a container's
+   points are discounted by its link density;
+2. the words of class and id weigh on the points: a block with a telling name ("article-comments", "main-nav", "ad-slot") is cut unless it
+   holds most of the page's points; one with a doubtful name ("share", "related", "discussion", "alert") must earn its place by
+   the points of its own paragraphs, and is cut where it is built like reader comments;
+3. the container with the most points is kept. From it up to the article or body around it, siblings are kept that score well
+   or read like its paragraphs and headings; inside an article or main, those that hold text and are no list of links.
 
 Scale: pages are independent; the work is a map over Arrow batches without a shuffle, and a task
 holds one batch of pages.
@@ -43,23 +48,32 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements and roles that never hold article text.
 _CUT_TAGS = frozenset("nav footer aside form button fieldset dialog menu".split())
 _CUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar".split())
-#: Words of class and id that mark such parts, and words that mark the article.
-_CUT_WORDS = frozenset(
-    "nav navbar navigation menu header masthead footer sidebar sidebars aside widget widgets cookie cookies consent gdpr notice notices banner popup modal overlay newsletter subscribe subscription signup promo promotion "
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors comment comments commentlist disqus discussion reply replies respond related recommended recommendations share sharing social "
-    "breadcrumb breadcrumbs pagination pager paging login register search form toolbar skip outbrain taboola alert feedback".split()
+#: Words of class and id that name such parts (reader comments first), and words that only hint at them.
+_COMMENT_WORDS = frozenset("comment comments commentlist commenter commentary disqus replies".split())
+_TELLING = _COMMENT_WORDS | frozenset(
+    "nav navbar navigation menu menus sidebar sidebars footer masthead breadcrumb breadcrumbs pagination pager paging cookie cookies consent gdpr newsletter subscribe subscription signup "
+    "ad ads adv advert adverts advertisement advertisements advertising adsense adslot sponsor sponsored sponsors popup modal overlay outbrain taboola toolbar skip skiplink".split()
 )
-_KEEP_WORDS = frozenset("article content main post entry story".split())
+_DOUBTFUL = frozenset("aside header share sharing social related recommended recommendations more register reply respond discussion search alert notice notices feedback login form widget widgets banner promo promos promotion".split())
+#: Nouns that say nothing of what is inside, so that the word before them names the part; words that only say that a part is there.
+_PLAIN_NOUNS = frozenset("section sections list box container wrapper wrap area block blocks item items link links button buttons bar left right top bottom main slot unit inner outer group panel body content text thread row column col icons zone region holder".split())
+_ABOUT = frozenset("has with no without show hide is layout page template".split())
+#: Words that mark an article, and those that mark the head of a comment.
+_ARTICLE_WORDS = frozenset("article post entry story section chapter content".split())
+_AUTHOR_WORDS = frozenset("author user username avatar byline commenter nickname".split())
+_DATE_WORDS = frozenset("date time timestamp posted ago datetime".split())
+#: Points that a block of a doubtful name must have: about one paragraph of 250 characters with two commas.
+EARNED = 5.0
 
 
 class Node:
-    __slots__ = ("children", "parent", "points", "tag", "text_n", "link_n", "words", "attrs")
+    __slots__ = ("attrs", "children", "link_n", "names", "own", "parent", "points", "tag", "text_n")
 
     def __init__(self, tag: str, parent: Node | None, attrs: str = ""):
         self.tag, self.parent, self.attrs = tag, parent, attrs
         self.children: list = []
-        self.points, self.text_n, self.link_n = 0.0, 0, 0
-        self.words: frozenset = frozenset()
+        self.points, self.own, self.text_n, self.link_n = 0.0, 0.0, 0, 0
+        self.names: list[list[str]] = []
 
 
 def parse(source: str) -> Node:
@@ -100,26 +114,97 @@ def parse(source: str) -> Node:
     return root
 
 
+def around(node: Node) -> Node | None:
+    """The article or main that a node is in."""
+    up = node.parent
+    while up is not None and up.tag not in ("article", "main"):
+        up = up.parent
+    return up
+
+
 def unwanted(node: Node) -> bool:
+    """Whether tag, role or state alone says that a node holds no article text; notes the words of its names."""
     if node.tag == "head":
         return True
     attrs = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(node.attrs)} if node.attrs else {}
-    node.words = frozenset(re.findall("[a-z]+", f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()))
-    if node.tag in ("body", "html", "main", "article"):
-        return bool(node.tag == "article" and node.words & {"comment", "comments", "reply"})
+    named = f"{attrs.get('class', '')} {attrs.get('id', '')}".split()
+    node.names = [w for n in named if (w := [x.lower() for x in re.findall("[A-Z]?[a-z]+|[A-Z]+", n)])]
+    if node.tag in ("body", "html", "main"):
+        return False
     if node.tag in _CUT_TAGS or attrs.get("role", "").lower() in _CUT_ROLES:
         return True
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I):
         return True
-    if node.tag == "header":
-        up = node.parent
-        while up is not None and up.tag not in ("article", "main"):
-            up = up.parent
-        return up is None
-    if node.tag in _BLOCK or node.tag in ("span", "a", "ins"):
-        cut = node.words & _CUT_WORDS
-        return bool(cut) and not node.words & _KEEP_WORDS
-    return False
+    return node.tag == "header" and around(node) is None
+
+
+def naming(node: Node) -> frozenset:
+    """The words that name what a block is: of each name its last word, and the one before plain nouns."""
+    found = set()
+    for words in node.names:
+        if words[0] in _ABOUT and len(words) > 1:
+            continue
+        found.update(a + b for a, b in zip(words, words[1:], strict=False) if a + b in _TELLING)  # side-bar, sideBar
+        at = len(words) - 1
+        found.add(words[at])
+        while at and words[at] in _PLAIN_NOUNS:
+            at -= 1
+        found.add(words[at])
+    return frozenset(found)
+
+
+def commented(node: Node) -> bool:
+    """Built like reader comments: two children or more that each have an author and a date."""
+    heads = 0
+    for child in node.children:
+        if isinstance(child, str):
+            continue
+        author = date = False
+        stack = [child]
+        while stack:
+            x = stack.pop()
+            words = {w for n in x.names for w in n}
+            author |= bool(words & _AUTHOR_WORDS)
+            date |= x.tag == "time" or bool(words & _DATE_WORDS)
+            stack.extend(c for c in x.children if not isinstance(c, str))
+        heads += author and date
+    return heads >= 2
+
+
+def named_away(node: Node, total: float, articles: list[Node], authors: bool) -> bool:
+    """Whether the name or the build of a scored block, weighed with its points, cuts it off.
+
+    ``total``: the points of the page's paragraphs; ``articles``: its article and main elements with text; ``authors``: whether any name is one of an author.
+    """
+    if not node.names and not authors or node.tag in ("body", "html", "main") or node.tag not in _BLOCK and node.tag not in ("span", "a", "ins"):
+        return False
+    most = 2 * node.own > total
+    if authors and not most and commented(node):
+        return True
+    words = naming(node)
+    if not words & (_TELLING | _DOUBTFUL):
+        return False
+    if any(holds(node, x) for x in articles if x is not node):
+        return False
+    if words & _COMMENT_WORDS and (articles or node.own < total):
+        return True
+    if words & _TELLING:
+        return bool(articles) or not (most and node.own >= 3 * EARNED)
+    if "header" in words and (around(node) is not None or any(w in _ARTICLE_WORDS for n in node.names for w in n)):
+        return False
+    return (bool(articles) or not most) and node.own * (1 - node.link_n / max(node.text_n, 1)) < EARNED
+
+
+def in_comments(node: Node | None) -> bool:
+    while node is not None and not naming(node) & _COMMENT_WORDS:
+        node = node.parent
+    return node is not None
+
+
+def holds(node: Node, inner: Node) -> bool:
+    while inner is not None and inner is not node:
+        inner = inner.parent
+    return inner is node
 
 
 def prune(root: Node) -> list[Node]:
@@ -157,7 +242,9 @@ def blocks_of(nodes: list) -> list[str]:
 
 
 def score(order: list[Node]) -> list[Node]:
-    """Give every container its points; containers that got any."""
+    """Give every container its points, and in ``own`` those of all paragraphs inside; containers that got any."""
+    for node in order:
+        node.points, node.own, node.text_n, node.link_n = 0.0, 0.0, 0, 0
     for node in reversed(order):
         node.text_n += sum(len(c.strip()) for c in node.children if isinstance(c, str))
         if node.tag == "a":
@@ -173,12 +260,14 @@ def score(order: list[Node]) -> list[Node]:
         inside = "".join(blocks_of(node.children)) if node.tag != "td" else "".join(c for c in node.children if isinstance(c, str))
         points = (1 + len(re.findall("[,،、，]", inside)) + min(len(inside) / 100, 3.0)) * (1 - node.link_n / max(node.text_n, 1))
         up, level = node.parent if node.tag != "div" or any(not isinstance(c, str) and c.tag == "p" for c in node.children) else node, 0
+        node.own += points
         while up is not None:
             up.points += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
+            up.own += points if up is not node else 0.0
             scored[id(up)] = up
             up, level = up.parent, level + 1
     for node in scored.values():
-        node.points *= 1 - node.link_n / max(node.text_n, 1)
+        node.points *= (1 - node.link_n / max(node.text_n, 1)) * (1.25 if any(n[-1] in _ARTICLE_WORDS for n in node.names) or node.tag in ("article", "main") else 1.0)
     return list(scored.values())
 
 
@@ -194,6 +283,18 @@ def link_list(node: Node) -> bool:
     return links >= 3
 
 
+def reads(node: Node, best: Node, before: bool) -> bool:
+    """Whether a sibling of the best container, or of one around it, belongs to the text."""
+    density = node.link_n / max(node.text_n, 1)
+    if around(node) is not None:
+        return bool(node.text_n) and density < 0.7
+    if node.points >= max(10.0, 0.2 * best.points):
+        return True
+    if node.tag in _HEADINGS:
+        return before and density < 0.5
+    return node.tag == "p" and node.text_n > 0 and (density < 0.25 if node.text_n > 80 else density == 0 and bool(re.search(r"[.!?…](?:\s|$)", "".join(blocks_of([node])))))
+
+
 def extract(source: str | None) -> str:
     """The main text of a page."""
     if not source:
@@ -201,33 +302,37 @@ def extract(source: str | None) -> str:
     root = parse(source)
     order = prune(root)
     scored = score(order)
+    total, articles = root.own, [x for x in order if x.tag in ("article", "main") and x.text_n and not in_comments(x)]
+    authors = any(w in _AUTHOR_WORDS for x in order for n in x.names for w in n)
+    stack, cut = [root], False
+    while stack:
+        node = stack.pop()
+        kept = [c for c in node.children if isinstance(c, str) or not named_away(c, total, articles, authors)]
+        cut |= len(kept) < len(node.children)
+        node.children = kept
+        stack.extend(c for c in kept if not isinstance(c, str))
+    if cut:
+        order = prune(root)
+        scored = score(order)
     best = max(scored, key=lambda x: x.points, default=None)
     if best is None:
         articles = [x for x in order if x.tag in ("article", "main")]
         best = max(articles, key=lambda x: x.text_n, default=root)
-    up = best
-    while up is not None:  # the article around it, if there is one
-        if up.tag in ("article", "main") and up.text_n:
-            best = up
-            break
-        up = up.parent
-    kept: list = [best]
-    if best.parent is not None and best.tag not in ("article", "main"):
-        siblings = [c for c in best.parent.children if not isinstance(c, str)]
-        place = siblings.index(best)
-        kept = []
-        for i, c in enumerate(siblings):
-            density = c.link_n / max(c.text_n, 1)
-            reads = c.tag == "p" and c.text_n and (density < 0.25 if c.text_n > 80 else density == 0 and re.search(r"[.!?…](?:\s|$)", "".join(blocks_of([c]))))
-            heads = c.tag in _HEADINGS and i < place and density < 0.5
-            if c is best or c.points >= max(10.0, 0.2 * best.points) or reads or heads:
-                kept.append(c)
-    stack = list(kept)
+    # From the best container up: what stays of each level stands around what stays of the level below.
+    chosen: list = [best]
+    node, scope = best, best if best.tag in ("article", "main") else around(best)
+    while node.parent is not None and node is not scope:
+        siblings, place = node.parent.children, next(i for i, c in enumerate(node.parent.children) if c is node)
+        inside = scope is not None
+        stays = lambda c, i: bool(c.strip()) if isinstance(c, str) else reads(c, best, i < place)  # noqa: B023, E731
+        chosen = [*[c for i, c in enumerate(siblings[:place]) if (inside or not isinstance(c, str)) and stays(c, i)], *chosen, *[c for i, c in enumerate(siblings[place + 1 :], place + 1) if (inside or not isinstance(c, str)) and stays(c, i)]]
+        node = node.parent
+    stack = [c for c in chosen if not isinstance(c, str)]
     while stack:
         node = stack.pop()
         node.children = [c for c in node.children if isinstance(c, str) or not link_list(c)]
         stack.extend(c for c in node.children if not isinstance(c, str))
-    return "\n\n".join(blocks_of(kept))
+    return "\n\n".join(blocks_of(chosen))
 
 
 def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

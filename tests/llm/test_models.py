@@ -237,6 +237,76 @@ def test_html_extraction(spark):
     assert {r.page_id: r.text for r in got if r.page_id in (2, 3, 5)} == {2: "", 3: "", 5: "deep"}
 
 
+def paragraphs(n, word="body"):
+    return "".join(f"<p>This is {word} {i}, with some words, commas, and enough length to be counted as article text by any scorer.</p>" for i in range(n))
+
+
+THREAD = "<div><span class='author'>Bob</span><time>now</time><p>I think this is a fine, fine article, thanks a lot for it, really.</p></div>" * 3
+AWAY = ["article-comments", "post-comments", "entry-comments", "comment content", "main-sidebar", "main-nav", "post-share", "content-advert", "comments", "cookie-banner", "ad", "sideBarLeft"]
+STAYS = ["share-of-market", "related", "register", "reply", "discussion", "search-results-section", "alert", "article-body", "post content"]
+
+
+@pytest.mark.parametrize("inside", [True, False])
+def test_html_names_of_other_parts(inside):
+    whole = (lambda x: f"<body><article><h1>T</h1>{paragraphs(4)}{x}</article></body>") if inside else (lambda x: f"<body><div><div><h1>T</h1>{paragraphs(4)}</div>{x}</div></body>")
+    want = html.extract(whole(""))
+    assert want.count("body") == 4 and want.startswith("T")
+    for name in AWAY:
+        for part in ("<p>Other text, with a comma.</p>", THREAD, "<ul><li><a href=x>one</a><li><a href=y>two</a></ul>"):
+            assert html.extract(whole(f"<div class='{name}'>{part}</div>")) == want, (name, part)
+    for part in (f"<div class=discussion>{THREAD}</div>", f"<section id=comments><article class=comment>{paragraphs(2, 'reply')}</article></section>", "<div class=share><a href=x>Share</a> this</div>", "<div><a href=a>one</a> <a href=b>two</a> <a href=c>three</a></div>"):
+        assert html.extract(whole(part)) == want, part
+
+
+def test_html_keeps_article_text_whatever_its_name():
+    for name in STAYS:
+        got = html.extract(f"<body><nav>menu</nav><article><h1>T</h1>{paragraphs(3)}<section class='{name}'><h2>Head</h2>{paragraphs(2, 'part')}</section></article></body>")
+        assert got.count("body") == 3 and got.count("part") == 2 and "Head" in got, name
+        assert html.extract(f"<body><div class='has-sidebar {name}'><h1>T</h1>{paragraphs(5)}</div><div>footer</div></body>").count("body") == 5, name
+
+
+def test_html_scores_decide_without_article():
+    teaser = "<div><h3>Other</h3><p>Read on, it is nice.</p></div>"
+    menu = "<div><ul>" + "".join(f"<li><a href=x>entry, number {i}, of a menu with long links</a>" for i in range(30)) + "</ul></div>"
+    page = f"<body><div>{menu}<div><div><h1>T</h1><div>{paragraphs(3)}</div><div>{paragraphs(3, 'more')}</div></div>{teaser}</div></div><div>Copyright, all rights.</div></body>"
+    got = html.extract(page)
+    assert got.count("body") == 3 and got.count("more") == 3 and "menu" not in got and "Copyright" not in got and "Read on" not in got and got.startswith("T")
+    # Of several articles the one with the most points.
+    two = html.extract(f"<body><article>{paragraphs(1, 'teaser')}</article><div></div><main>{paragraphs(6)}</main></body>")
+    assert two.count("body") == 6
+
+
+def test_html_scores_against_brute_force():
+    rng = random.Random(12)
+
+    def tree(depth):
+        if depth == 0 or rng.random() < 0.3:
+            n = rng.randrange(1, 30)
+            words = " ".join(rng.choice(["word", "wörter,", "x", "longer"]) for _ in range(n))
+            return f"<p>{words}</p>" if rng.random() < 0.7 else f"<p><a href=x>{words}</a> {words[:20]}</p>"
+        return "<div>" + "".join(tree(depth - 1) for _ in range(rng.randrange(1, 4))) + "</div>"
+
+    for _ in range(60):
+        order = html.prune(html.parse(f"<body>{tree(4)}{tree(4)}</body>"))
+        scored = html.score(order)
+        text = lambda n: "".join(c if isinstance(c, str) else text(c) for c in n.children)
+        links = lambda n: text(n) if n.tag == "a" else "".join(links(c) for c in n.children if not isinstance(c, str))
+        for node in scored:
+            points = 0.0
+            for leaf in order:
+                inner = text(leaf)
+                if leaf.tag == "p" and leaf.text_n >= 25:
+                    chain, up = [], leaf.parent
+                    while up is not None:
+                        chain.append(up)
+                        up = up.parent
+                    if any(x is node for x in chain):
+                        level = next(i for i, x in enumerate(chain) if x is node)
+                        points += (1 + inner.count(",") + min(len(" ".join(inner.split())) / 100, 3)) * (1 - leaf.link_n / leaf.text_n) / [1, 2, 6, 9, 12, 15, 18, 21][level]
+            assert node.points == pytest.approx(points * (1 - node.link_n / node.text_n), abs=1e-6)
+            assert abs(node.link_n - len(links(node).strip())) <= 40 * text(node).count(" ")
+
+
 # --- media --------------------------------------------------------------------
 def lzw(samples, size):
     """A plain compressing encoder, to hold the decoder against."""
