@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -19,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The shared folder of ``spark.checkpoint.dir``; where that is unset, a temporary one, and only for a local master."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="formbook-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root}/formbook-{spark.sparkContext.applicationId}"
@@ -67,3 +70,18 @@ def lower_ascii(c: Column) -> Column:
 
 def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
+
+
+def skew_join(left: DataFrame, right: DataFrame, keys: list[str], counts: DataFrame, how: str = "inner", parts: int = 1000) -> DataFrame:
+    """Join many rows of a key in ``left`` with its one row in ``right``, however many of the rows share a key.
+
+    ``counts``: (keys, n), how many rows of ``left`` a key has. A key with more than a thousandth (``parts``) of all rows is
+    dealt out over as many salts as it has thousandths, and its row of ``right`` is repeated for each. There can be no more than ``parts``
+    such keys, so their list is broadcast, and no more than twice ``parts`` rows are added to ``right``.
+    """
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    hot = counts.where(F.col("n") * parts > total).select(*keys, F.ceil(F.col("n") * parts / max(total, 1)).cast("int").alias("_copies"))
+    hot = F.broadcast(materialize(hot, "hot-keys").limit(parts))  # never more than ``parts`` rows
+    salted = left.join(hot, keys, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*left.columns), F.col("_copies")), F.lit(0)).cast("int")).drop("_copies")
+    copied = right.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1))).drop("_copies")
+    return salted.join(copied, [*keys, "_salt"], how).drop("_salt")

@@ -1,8 +1,8 @@
 """Line dedup over levelled sorted runs of line hashes.
 
 ``LineRuns`` is a small log-structured store. A batch of documents becomes a
-*run*: a Parquet table of (key, number of documents, largest document), sorted
-by key and range-partitioned on it. Runs are kept in levels; as soon as a level
+*run*: a Parquet table of (key, number of documents, largest document), dealt by a hash
+of the key and sorted by it. Runs are kept in levels; as soon as a level
 has ``fanout`` runs they are merged into one run of the next level. A new batch
 is first anti-joined with the keys that earlier runs have settled (documents are
 fed from the largest id down, so a key that has reached ``min_docs`` can neither
@@ -84,7 +84,7 @@ class LineRuns:
 
 
 def drop_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, min_docs: int = 3, batches: int = 4) -> DataFrame:
-    """``docs`` with ``text_col`` reduced to the lines that stay, and ``n_lines``, ``n_dropped``.
+    """``docs`` with ``text_col`` reduced to the lines that stay, and ``n_lines``, ``n_dropped`` (in place of columns of these names).
 
     A line whose key is in ``min_docs`` documents or more stays only in the largest of them.
     """
@@ -103,14 +103,16 @@ def drop_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         if low is None:
             inside |= F.col("doc_id").isNull()
         runs.add(slim.where(inside))
-    shared = runs.merged().where((F.col("n_docs") >= min_docs) & F.col("last_doc").isNotNull())
-    lost = slim.join(shared, ["a", "b"]).where(F.col("doc_id").isNull() | (F.col("doc_id") < F.col("last_doc")))
+    shared = materialize(runs.merged().where((F.col("n_docs") >= min_docs) & F.col("last_doc").isNotNull()), "shared-lines")
+    # Both sides are stored tables, so adaptive execution splits the partition of a line that very many documents hold.
+    lost = slim.join(shared.select("a", "b", "last_doc"), ["a", "b"]).where(F.col("doc_id").isNull() | (F.col("doc_id") < F.col("last_doc")))
     lost = lost.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set(F.struct("a", "b")).alias("_lost"))
     met = docs.join(lost, same(F.col(id_col), F.col("_doc")), "left")
     judged = F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), lambda x: F.struct(x.alias("line"), hashed(line_key(x), min_chars).alias("k")))
     kept = F.when(F.col("_lost").isNull(), lines).otherwise(F.transform(F.filter(judged, lambda x: x["k"].isNull() | ~F.array_contains(F.col("_lost"), x["k"])), lambda x: x["line"]))
-    met = met.withColumn("_kept", kept).withColumn("n_lines", F.size(lines).cast("long")).withColumn("n_dropped", F.col("n_lines") - F.size("_kept"))
-    return met.withColumn(text_col, F.when(F.col("n_dropped") == 0, F.col(text_col)).otherwise(F.array_join("_kept", "\n"))).select(*docs.columns, *[c for c in ("n_lines", "n_dropped") if c not in docs.columns])
+    met = met.withColumn("_kept", kept).withColumn("_n_lines", F.size(lines).cast("long")).withColumn("_n_dropped", F.col("_n_lines") - F.size("_kept"))
+    met = met.withColumn(text_col, F.when(F.col("_n_dropped") == 0, F.col(text_col)).otherwise(F.array_join("_kept", "\n")))
+    return met.select(*[c for c in docs.columns if c not in ("n_lines", "n_dropped")], F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"))
 
 
 def line_report(docs: DataFrame, **how) -> DataFrame:

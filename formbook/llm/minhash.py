@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from formbook.llm.common import materialize, same, ship
+from formbook.llm.common import materialize, same, ship, skew_join
 
 BANDS, ROWS = 32, 4
 #: Signatures that agree in fewer places than threshold minus this are not verified (6 standard deviations).
@@ -167,14 +167,16 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(class, set) of the wanted classes: their texts are found again by hash and hashed once more."""
-    texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(wanted, "text_key").groupBy("class").agg(F.first("text").alias("text"))
+    # One text of each key leaves a task, however many copies it read.
+    single = docs.select(F.xxhash64("text").alias("text_key"), "text").groupBy("text_key").agg(F.first("text").alias("text"))
+    texts = single.join(wanted, "text_key")
     return texts.select("class", "text").mapInArrow(_sets(words), "class binary, set array<bigint>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
     left, right = sets.select(F.col("class").alias("a"), F.col("set").alias("set_a")), sets.select(F.col("class").alias("b"), F.col("set").alias("set_b"))
-    met = pairs.select("a", "b").join(left, "a").join(right, "b")
+    met = skew_join(pairs.select("a", "b"), left, ["a"], pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))).join(right, "b")
     return met.where(similar(F.size("set_a"), F.size("set_b"), F.size(F.array_intersect("set_a", "set_b")), percent)).select("a", "b")
 
 
@@ -210,7 +212,7 @@ def rooted_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     signed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     signed = materialize(signed.mapInArrow(_signatures(words, seed), "doc_id long, text_key long, n_shingles long, class binary, sig binary, bands array<bigint>"), "signatures")
-    classes = materialize(signed.where("class is not null").groupBy("class").agg(F.min_by("text_key", "text_key").alias("text_key"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "classes")
+    classes = materialize(signed.where("class is not null").groupBy("class").agg(F.min_by("text_key", "text_key").alias("text_key"), F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n")), "classes")
     banded = classes.select("class", F.explode("bands").alias("band"))
     pivots = banded.groupBy("band").agg(F.min("class").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "pivot")
     buckets = materialize(banded.join(pivots, "band"), "buckets")
@@ -224,14 +226,18 @@ def rooted_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     roots = materialize(components(links), "roots")
     # Buckets that still hold several components.
     rooted = buckets.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    mixed = rooted.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("n")).where("r0 != r1 and n > 2")
+    mixed = rooted.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1")
     members = rooted.join(mixed.select("band"), "band", "left_semi").select("class", "root").distinct()
     more = materialize(confirmed(prefix_pairs(members.join(sets, "class"), percent), sets, percent), "links-rest")
     if more.head(1):
         roots = materialize(components(reduce(DataFrame.unionByName, [links, more])), "roots")
     rows = signed.select("doc_id", "text_key", "n_shingles", "class")
-    rows = rows.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    return materialize(rows.select("doc_id", "text_key", "n_shingles", "root"), "rooted")
+    # Roots meet classes, then rows: a class of very many copies is dealt out.
+    rooted = classes.select("class", "n").join(roots.withColumnRenamed("node", "class"), "class", "left").select("class", "n", F.coalesce("root", "class").alias("root"))
+    rooted = materialize(rooted, "class-roots")
+    words_in = skew_join(rows.where("class is not null"), rooted.select("class", "root"), ["class"], rooted.select("class", "n")).select("doc_id", "text_key", "n_shingles", "root")
+    none = rows.where("class is null").select("doc_id", "text_key", "n_shingles", F.lit(None).cast("binary").alias("root"))
+    return materialize(words_in.unionByName(none), "rooted")
 
 
 def near_duplicates(docs: DataFrame, **how) -> DataFrame:
@@ -240,10 +246,11 @@ def near_duplicates(docs: DataFrame, **how) -> DataFrame:
     component_id: smallest doc_id reachable over links of ``percent`` similarity or more; kept: it is its own.
     """
     rows = rooted_rows(docs, **how).drop("text_key")
-    least = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    out = rows.join(least, "root", "left")
-    alone = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", alone.alias("component_id"), same(F.col("doc_id"), alone).alias("kept"))
+    least = materialize(rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n")), "least")
+    met = skew_join(rows.where("root is not null"), least.drop("n"), ["root"], least.select("root", "n"))
+    out = met.select("doc_id", "n_shingles", "component_id", same(F.col("doc_id"), F.col("component_id")).alias("kept"))
+    none = rows.where("root is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return out.unionByName(none)
 
 
 def keep_first(docs: DataFrame, **how) -> DataFrame:
