@@ -67,10 +67,11 @@ class LineRuns:
 
     def add(self, batch: DataFrame) -> None:
         """batch: (a, b, doc_id), one row for each document and line; larger doc_ids than in later batches."""
+        # Counted before the anti-join, so that a line leaves each task once.
+        own = batch.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc"))
         if runs := self.runs():
             settled = self._merge(runs).where(F.col("n_docs") >= self.min_docs)
-            batch = batch.join(settled, ["a", "b"], "left_anti")
-        own = batch.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc"))
+            own = own.join(settled, ["a", "b"], "left_anti")
         self.levels[0].append(self._write(own, 0))
         self.compact()
 

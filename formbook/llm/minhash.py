@@ -6,7 +6,7 @@
    the bucket's pivot - and never its pairs. With 32 bands of 4 rows a pair at similarity 0.8 misses
    every bucket once in 20 million.
 3. *Verification.* Stars whose signatures are far below the threshold go; the others are confirmed on
-   the full sets of hashed shingles.
+   the full sets of hashed shingles; so is the pair of every bucket of two.
 4. *Components* by alternating large-star and small-star.
 5. *The rest of the buckets.* Where a bucket still holds several components, a star may have missed a link
    between two members. Their classes are joined once more by an exact prefix join: only the rarest
@@ -119,15 +119,15 @@ def _sets(words: int):
 
 
 def _agreement(pairs: DataFrame) -> DataFrame:
-    """Adds ``agree``: in how many places two signatures agree."""
+    """(a, b, n, agree) of pairs: ``agree`` is in how many places two signatures agree."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = ([np.frombuffer(v, np.uint32) for v in batch.column(i).to_pylist()] for i in (2, 3))
+            x, y = ([np.frombuffer(v, np.uint32) for v in batch.column(i).to_pylist()] for i in (3, 4))
             agree = (np.array(x) == np.array(y)).sum(axis=1) if x else []
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(agree, pa.int64())], ["a", "b", "agree"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(agree, pa.int64())], ["a", "b", "n", "agree"])
 
-    return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(of, "a binary, b binary, agree long")
+    return pairs.select("a", "b", "n", "sig_a", "sig_b").mapInArrow(of, "a binary, b binary, n long, agree long")
 
 
 def similar(n_a: Column, n_b: Column, both: Column, percent: int) -> Column:
@@ -167,9 +167,8 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(class, set) of the wanted classes: their texts are found again by hash and hashed once more."""
-    # One text of each key leaves a task, however many copies it read.
-    single = docs.select(F.xxhash64("text").alias("text_key"), "text").groupBy("text_key").agg(F.first("text").alias("text"))
-    texts = single.join(wanted, "text_key")
+    # ``wanted`` is a stored table, so adaptive execution splits the copies of one text; one of them leaves each task.
+    texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(wanted, "text_key").groupBy("class").agg(F.first("text").alias("text"))
     return texts.select("class", "text").mapInArrow(_sets(words), "class binary, set array<bigint>")
 
 
@@ -214,19 +213,21 @@ def rooted_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     signed = materialize(signed.mapInArrow(_signatures(words, seed), "doc_id long, text_key long, n_shingles long, class binary, sig binary, bands array<bigint>"), "signatures")
     classes = materialize(signed.where("class is not null").groupBy("class").agg(F.min_by("text_key", "text_key").alias("text_key"), F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n")), "classes")
     banded = classes.select("class", F.explode("bands").alias("band"))
-    pivots = banded.groupBy("band").agg(F.min("class").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "pivot")
+    pivots = banded.groupBy("band").agg(F.min("class").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = materialize(banded.join(pivots, "band"), "buckets")
-    stars = buckets.where(F.col("class") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
+    stars = buckets.where(F.col("class") != F.col("pivot")).groupBy(F.col("pivot").alias("a"), F.col("class").alias("b")).agg(F.min("n").alias("n"))
     sig = lambda c: classes.select(F.col("class").alias(c), F.col("sig").alias(f"sig_{c}"))
-    agreed = materialize(_agreement(stars.join(sig("a"), "a").join(sig("b"), "b")).where(F.col("agree") >= BANDS * ROWS * (percent / 100 - SLACK)).select("a", "b"), "stars-agreed")
+    agreed = _agreement(stars.join(sig("a"), "a").join(sig("b"), "b"))
+    # The pair of a bucket of two is verified whatever its signatures say: no later step looks at it again.
+    agreed = materialize(agreed.where((F.col("agree") >= BANDS * ROWS * (percent / 100 - SLACK)) | (F.col("n") == 2)).select("a", "b"), "stars-agreed")
     # Sets are kept for the members of buckets with more than one class: they are verified below, or again after the stars.
-    wanted = buckets.select("class").distinct().join(classes.select("class", "text_key"), "class")
+    wanted = materialize(buckets.select("class").distinct().join(classes.select("class", "text_key"), "class"), "wanted")
     sets = materialize(shingle_sets(docs, wanted, words), "sets")
     links = materialize(confirmed(agreed, sets, percent), "links-star")
     roots = materialize(components(links), "roots")
     # Buckets that still hold several components.
     rooted = buckets.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    mixed = rooted.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1")
+    mixed = rooted.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.first("n").alias("n")).where("r0 != r1 and n > 2")
     members = rooted.join(mixed.select("band"), "band", "left_semi").select("class", "root").distinct()
     more = materialize(confirmed(prefix_pairs(members.join(sets, "class"), percent), sets, percent), "links-rest")
     if more.head(1):

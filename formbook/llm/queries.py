@@ -74,5 +74,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op6_chat_format": sql.OP6, "op8_line_dedup": sql.OP8, "op10_mixing": sql.OP10}
+    found = {"op4_minhash_dedup": sql.OP4, "op6_chat_format": sql.OP6, "op8_line_dedup": sql.OP8, "op10_mixing": sql.OP10}
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -39,3 +39,15 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) |
        sum(24 + length(regexp_replace(role, '[\\\n]|<\\*\|', '\0x', 'g')) + length(regexp_replace(text, '<\\*\|', '\0x', 'g')))::BIGINT AS formatted_chars
 FROM c GROUP BY conv_id
 """
+
+OP4 = r"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT rid, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')] ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS sh FROM w),
+e AS (SELECT rid, unnest(sh) AS g FROM s),
+p AS (SELECT x.rid AS a, y.rid AS b, count(*) AS same FROM e x JOIN e y ON x.g = y.g AND x.rid < y.rid GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN s x ON x.rid = a JOIN s y ON y.rid = b WHERE 100 * same >= 80 * (len(x.sh) + len(y.sh) - same)),
+u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT rid, doc_id AS reached FROM s UNION SELECT u.b, r.reached FROM r JOIN u ON u.a = r.rid),
+c AS (SELECT rid, min(reached) AS component_id FROM r GROUP BY 1)
+SELECT doc_id, len(sh)::BIGINT AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept FROM s JOIN c USING (rid)
+"""
