@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,6 +91,40 @@ def _replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(out, schema)
 
 
+def grid(games: DataFrame, configs: list[tuple[str, float, float, float]], pool: str | None = None) -> DataFrame:
+    """(config, n, accuracy, brier) of every configuration (name, k, bonus, regression), all in one pass over a pool: a team's rating is a vector with one number for each."""
+    rows = results(games, pool).select("pool", "day", "game_pk", "season", "home_team_id", "away_team_id", "result")
+    sums = _in_order(rows, ["pool"], []).mapInArrow(_grid(configs), "config string, n long, right long, squares double")
+    per = sums.groupBy("config").agg(F.sum("n").alias("n"), F.sum("right").alias("right"), F.sum("squares").alias("squares"))
+    return per.select("config", "n", (F.col("right") / F.col("n")).alias("accuracy"), (F.col("squares") / F.col("n")).alias("brier"))
+
+
+def _grid(configs: list[tuple[str, float, float, float]]):
+    names = [c[0] for c in configs]
+    k, bonus, regression = np.array([c[1:] for c in configs], float).T
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, season_now, rating, n = None, None, {}, 0
+        right, squares, start = np.zeros(len(names), np.int64), np.zeros(len(names)), np.full(len(names), START)
+        for pool, _, _, season, home, away, result in _tuples(batches):
+            if now != (pool,):
+                now, season_now, rating = (pool,), None, {}
+            if season_now is not None and season != season_now:
+                rating = {t: START + (1 - regression) * (r - START) for t, r in rating.items()}
+            season_now = season
+            x, y = rating.get(home, start), rating.get(away, start)
+            p = 1 / (1 + 10 ** ((y - x - bonus) / 400))
+            rating[home], rating[away] = x + k * (result - p), y - k * (result - p)
+            rating.pop(None, None)
+            n += 1
+            right += (p >= 0.5) == (result > 0.5)
+            squares += (p - result) ** 2
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([n] * len(names), pa.int64()), pa.array(right), pa.array(squares)], ["config", "n", "right", "squares"])
+
+    return of
+
+
 def seed(ratings: DataFrame, regression: float = REGRESSION) -> DataFrame:
     """Ratings for a new season: regressed to the mean, their games counted anew."""
     return ratings.withColumns({"rating": START + (1 - regression) * (F.col("rating") - START), "games": F.lit(0).cast("long")})

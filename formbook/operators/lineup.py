@@ -56,6 +56,13 @@ def project(recent: DataFrame, by: list[str], days: int = 14, slots: int = 9) ->
     return scored.groupBy(*by).applyInPandas(greedy, schema)
 
 
+def with_pitchers(lineups: DataFrame, probable: DataFrame, by: list[str]) -> DataFrame:
+    """Projected batters and, after them, each group's probable pitcher (by, player_id); none of them is confirmed."""
+    starters = probable.where("player_id IS NOT NULL").join(lineups.select(*by).distinct(), by, "left_semi").select(*by, F.lit(None).cast("int").alias("batting_order"), "player_id", F.lit(True).alias("is_probable_pitcher"))
+    batters = lineups.select(*by, "batting_order", "player_id", F.lit(False).alias("is_probable_pitcher"))
+    return batters.unionByName(starters).withColumn("lineup_confirmed", F.lit(False))
+
+
 def only_unknown(target: DataFrame, known: DataFrame, by: list[str], enough: int = 8) -> DataFrame:
     """Groups that still need a projection: those with fewer than ``enough`` known batters."""
     full = known.where("batting_order IS NOT NULL").groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= enough)

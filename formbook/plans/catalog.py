@@ -9,9 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from formbook.functions import scalars as S
-from formbook.operators import asof, dedup, elo, quality, reshape
+from formbook.operators import asof, dedup, elo, quality, ranks, reshape, upkeep
 from formbook.operators import windows as win
-from formbook.sources.tables import games, pitches, predictions, table
+from formbook.sources.tables import games, leagues, pitches, predictions, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -238,11 +238,10 @@ def a17_pitcher_batter_splits(spark, d):
 
 @register(f"WITH {P} SELECT pitcher, stand, game_date, {SPLIT} FROM p GROUP BY GROUPING SETS ((pitcher, stand), (pitcher, game_date))")
 def a18_grouping_sets(spark, d):
-    p = pitches(spark, d)
-    p.createOrReplaceTempView("_pitches")
     return spark.sql(
         """SELECT pitcher, stand, game_date, count(1) AS pa, count_if(events = 'strikeout') AS k, count_if(events = 'walk') AS bb, count_if(events = 'home_run') AS hr,
-        round(sum(CASE events WHEN 'walk' THEN 690 WHEN 'single' THEN 880 WHEN 'home_run' THEN 2031 ELSE 0 END) / (1000 * count(1)), 6) AS woba FROM _pitches GROUP BY GROUPING SETS ((pitcher, stand), (pitcher, game_date))"""
+        round(sum(CASE events WHEN 'walk' THEN 690 WHEN 'single' THEN 880 WHEN 'home_run' THEN 2031 ELSE 0 END) / (1000 * count(1)), 6) AS woba FROM {p} GROUP BY GROUPING SETS ((pitcher, stand), (pitcher, game_date))""",
+        p=pitches(spark, d),
     )
 
 
@@ -315,7 +314,8 @@ def a24_a25_scaling(spark, d):
 
 @register("SELECT median(l_quantity) AS quantity, median(l_discount) AS discount, median(l_tax) AS tax FROM lineitem")
 def a26_medians(spark, d):
-    return table(spark, d, "lineitem").agg(F.median("l_quantity").alias("quantity"), F.median("l_discount").alias("discount"), F.median("l_tax").alias("tax"))
+    found = upkeep.medians(table(spark, d, "lineitem"), ["l_quantity", "l_discount", "l_tax"])
+    return spark.range(1).select(*[F.lit(v).cast("double").alias(c.removeprefix("l_")) for c, v in found.items()])
 
 
 @register(f"WITH {T} SELECT team_id, round(avg(won) FILTER (is_home), 6) AS home_rate, round(avg(won) FILTER (NOT is_home), 6) AS away_rate, round(avg(won) FILTER (is_home) - avg(won) FILTER (NOT is_home), 6) AS advantage FROM t GROUP BY 1")
@@ -442,11 +442,10 @@ PRED = "x AS (SELECT doc_id AS game_pk, toxic::BIGINT AS y, (doc_id * 37 % 100)
  round((sum(rk) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2.0) / (count(*) FILTER (y = 1) * count(*) FILTER (y = 0)), 6) AS auc FROM c"""
 )
 def m23_metrics(spark, d):
-    # Ranks from counts per distinct probability: no window over all rows.
+    # Ranks from counts per distinct probability, summed by ranges of it.
     x = predictions(spark, d)
-    per = x.groupBy("p").agg(F.count(F.lit(1)).alias("m"), F.sum("y").alias("pos"))
-    ahead = F.coalesce(F.sum("m").over(W.orderBy("p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    pos = per.withColumn("rk", ahead + (F.col("m") + 1) / 2).agg(F.sum(F.col("rk") * F.col("pos")).alias("ranks"))
+    per = ranks.ahead(x.groupBy("p").agg(F.count(F.lit(1)).alias("m"), F.sum("y").alias("pos")), "p", "m")
+    pos = per.withColumn("rk", F.col("ahead") + (F.col("m") + 1) / 2).agg(F.sum(F.col("rk") * F.col("pos")).alias("ranks"))
     q = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col("p")))
     one = x.agg(
         F.count(F.lit(1)).alias("n"), r6(F.avg(((F.col("p") >= 0.5).cast("int") == F.col("y")).cast("int")), "accuracy"), r6(F.avg(F.pow(F.col("p") - F.col("y"), F.lit(2))), "brier"),
@@ -500,20 +499,17 @@ def k1_k12_quality_report(spark, d):
 # --- state: no SQL twin; tests hold them against plain loops ------------------
 @register()
 def z1_elo_replay(spark, d):
-    return elo.replay(games(spark, d)).select("game_pk", r6(F.col("home_elo"), "home_elo"), r6(F.col("away_elo"), "away_elo"), r6(F.col("home_probability"), "home_probability"))
+    return elo.replay(leagues(spark, d), pool="league").select("game_pk", r6(F.col("home_elo"), "home_elo"), r6(F.col("away_elo"), "away_elo"), r6(F.col("home_probability"), "home_probability"))
 
 
 @register()
 def z2_elo_grid(spark, d):
     grid = [(f"k{k}-b{b}-r{r}", float(k), float(b), r) for k in (10, 15, 20, 25) for b in (40, 60, 80) for r in (0.25, 0.33, 0.40)]
-    g = games(spark, d)
-    ran = elo.replay(g, spark.createDataFrame(grid, "config string, k double, bonus double, regression double"))
-    met = ran.join(g.select("game_pk", (F.col("home_score") > F.col("away_score")).cast("int").alias("won")), "game_pk")
-    return met.groupBy("config").agg(F.count(F.lit(1)).alias("n"), r6(F.avg(((F.col("home_probability") >= 0.5).cast("int") == F.col("won")).cast("int")), "accuracy"), r6(F.avg(F.pow(F.col("home_probability") - F.col("won"), F.lit(2))), "brier"))
+    return elo.grid(leagues(spark, d), grid, "league").select("config", "n", r6(F.col("accuracy"), "accuracy"), r6(F.col("brier"), "brier"))
 
 
 def _register_all() -> None:
-    from formbook.plans import features, learned, live  # noqa: F401  they register themselves with this module
+    from formbook.plans import assembled, features, learned, live, upkeep  # noqa: F401  they register themselves with this module
 
 
 def queries() -> dict[str, Query]:

@@ -7,10 +7,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from formbook.functions import scalars as S
-from formbook.operators import dedup, elo, lineup, reports, reshape, splits
+from formbook.operators import dedup, elo, lineup, ranks, reports, reshape, splits
 from formbook.operators import windows as win
 from formbook.plans.catalog import ALL_T, G, P, T, r6, register, season_order, team_order, team_rows, weight
-from formbook.sources.tables import games, pitches, predictions
+from formbook.sources.tables import games, leagues, pitches, predictions
 
 CASES = "CASE events WHEN 'walk' THEN 690 WHEN 'single' THEN 880 WHEN 'home_run' THEN 2031 ELSE 0 END"
 RATED = "row_number() OVER (PARTITION BY team_id, season ORDER BY game_date, game_pk)"
@@ -43,9 +43,7 @@ def a12_approximate_distinct(spark, d):
 )
 def a20_roster_average(spark, d):
     per = pitches(spark, d).groupBy("pitcher").agg(F.round(F.avg("release_speed"), 6).alias("v"), F.count(F.lit(1)).alias("n"))
-    by_value = per.groupBy("v").count()  # one row for each distinct value: the only rows that a window without a key sees
-    below = F.coalesce(F.sum("count").over(W.orderBy("v").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    ranked = by_value.select("v", below.alias("below"), F.sum("count").over(W.partitionBy()).alias("total"))
+    ranked = ranks.ahead(per.groupBy("v").count(), "v", "count", "below").select("v", "below").join(F.broadcast(per.agg(F.count(F.lit(1)).alias("total"))))  # one row
     pct = F.when(F.col("total") > 1, F.col("below") / (F.col("total") - 1)).otherwise(F.lit(0.0))
     return per.join(ranked, "v").withColumn("pct", pct).groupBy((F.col("pitcher") % 10).alias("team_id")).agg(r6(F.avg("pct"), "mean_percentile"), r6(F.sum(F.col("pct") * F.col("n")) / F.sum("n"), "weighted_percentile"))
 
@@ -221,18 +219,18 @@ def m3_rating_features(spark, d):
     g = games(spark, d)
     pair = W.partitionBy(F.least("home_team_id", "away_team_id"), F.greatest("home_team_id", "away_team_id")).orderBy("game_date", "game_pk").rowsBetween(W.unboundedPreceding, -1)
     met = g.select("game_pk", F.count(F.lit(1)).over(pair).alias("met_before"), F.avg((F.col("home_score") > F.col("away_score")).cast("int")).over(pair).alias("home_side_rate"))
-    rated = elo.replay(g).select("game_pk", "home_elo", "away_elo", (F.col("home_elo") - F.col("away_elo")).alias("elo_differential"), "home_probability")
-    return m1_training_set(spark, d).join(met, "game_pk").join(rated, "game_pk").withColumn("expected_home", S.elo_probability(F.col("home_elo"), F.col("away_elo"), elo.BONUS))
+    rated = elo.replay(leagues(spark, d), pool="league").select("game_pk", "home_elo", "away_elo", (F.col("home_elo") - F.col("away_elo")).alias("elo_differential"), "home_probability")
+    return m1_training_set(spark, d).join(met, "game_pk", "left").join(rated, "game_pk", "left").withColumn("expected_home", S.elo_probability(F.col("home_elo"), F.col("away_elo"), elo.BONUS))
 
 
 @register()
 def z3_z4_incremental_elo(spark, d):
     """State before the last season, regressed, then only that season's games applied: equals the full replay."""
-    g = games(spark, d)
+    g = leagues(spark, d)
     last = g.agg(F.max("season").alias("last"))  # one row
     g = g.join(F.broadcast(last))
-    seeded = elo.seed(elo.ratings_after(g.where("season < last").drop("last")))
-    return elo.ratings_after(g.where("season = last").drop("last"), seeded).select("team_id", r6(F.col("rating"), "rating"), F.col("games").cast("long").alias("games"))
+    seeded = elo.seed(elo.ratings_after(g.where("season < last").drop("last"), pool="league"))
+    return elo.ratings_after(g.where("season = last").drop("last"), seeded, pool="league").select(F.col("pool").cast("long").alias("league"), "team_id", r6(F.col("rating"), "rating"), F.col("games").cast("long").alias("games"))
 
 
 @register()

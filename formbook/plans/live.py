@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from formbook.plans.catalog import P, r6, register
-from formbook.sources.tables import as_games, as_pitches, table
+from formbook.sources import sinks
+from formbook.sources.tables import as_leagues, as_pitches, table
 from formbook.streaming import pitches as live
 
 
@@ -14,6 +15,15 @@ def feed(spark, d):
     return as_pitches(events.withColumn("ts", F.col("ts").cast("timestamp")))  # watermarks need an instant
 
 
+def closed_feed(spark, d):
+    """The feed with a last event of nobody (pitcher -1), late enough for the watermark to pass every window before it."""
+    events, path = table(spark, d, "events"), sinks.shared_folder(spark, "closing")
+    end = events.agg(F.max("ts").alias("ts")).select(*[(F.lit(-1).cast(t) if c == "user_id" else (F.col("ts") + F.expr("INTERVAL 40 DAYS")).cast(t) if c == "ts" else F.lit(None).cast(t)).alias(c) for c, t in events.dtypes])
+    end.write.parquet(path)
+    marker = as_pitches(live.source(spark, path, files_per_trigger=None).withColumn("ts", F.col("ts").cast("timestamp")))
+    return feed(spark, d).unionByName(marker)
+
+
 @register(f"WITH {P} SELECT pitch_id, pitcher, game_pk, events FROM p")
 def t1_stream_dedup(spark, d):
     """Every event arrives twice and leaves once."""
@@ -23,12 +33,12 @@ def t1_stream_dedup(spark, d):
 
 @register(f"WITH {P} SELECT game_date AS day, pitcher, count(*)::BIGINT AS n, round(avg(release_speed), 6) AS velo FROM p GROUP BY 1, 2")
 def t2_daily_rollup(spark, d):
-    return live.drain(live.rollup(feed(spark, d), ["pitcher"], "1 day"), "complete").select(F.to_date("start").alias("day"), "pitcher", "n", r6(F.col("velo"), "velo"))
+    return live.drain(live.rollup(closed_feed(spark, d), ["pitcher"], "1 day")).where("pitcher >= 0").select(F.to_date("start").alias("day"), "pitcher", "n", r6(F.col("velo"), "velo"))
 
 
 @register(f"WITH {P} SELECT (game_date - k::INT)::DATE AS day, pitcher, count(*)::BIGINT AS n, round(avg(release_speed), 6) AS velo FROM p, generate_series(0, 6) AS s(k) GROUP BY 1, 2")
 def t3_sliding_week(spark, d):
-    return live.drain(live.rollup(feed(spark, d), ["pitcher"], "7 days", "1 day"), "complete").select(F.to_date("start").alias("day"), "pitcher", "n", r6(F.col("velo"), "velo"))
+    return live.drain(live.rollup(closed_feed(spark, d), ["pitcher"], "7 days", "1 day")).where("pitcher >= 0").select(F.to_date("start").alias("day"), "pitcher", "n", r6(F.col("velo"), "velo"))
 
 
 @register(
@@ -36,12 +46,12 @@ def t3_sliding_week(spark, d):
  SELECT pitcher, epoch_us(min(ts))::BIGINT AS start_us, epoch_us(max(ts) + INTERVAL 30 MINUTES)::BIGINT AS end_us, count(*)::BIGINT AS n FROM s GROUP BY pitcher, sess"""
 )
 def t4_appearances(spark, d):
-    return live.drain(live.appearances(feed(spark, d), ["pitcher"]), "complete").select("pitcher", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n")
+    return live.drain(live.appearances(closed_feed(spark, d), ["pitcher"])).where("pitcher >= 0").select("pitcher", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n")
 
 
 @register()
 def t5_live_ratings(spark, d):
-    return live.drain(live.live_ratings(as_games(live.source(spark, f"{d}/orders.parquet", files_per_trigger=None)))).select("game_pk", r6(F.col("home_elo"), "home_elo"), r6(F.col("away_elo"), "away_elo"), "accepted")
+    return live.drain(live.live_ratings(as_leagues(live.source(spark, f"{d}/orders.parquet", files_per_trigger=None)), "league")).select("game_pk", r6(F.col("home_elo"), "home_elo"), r6(F.col("away_elo"), "away_elo"), "accepted")
 
 
 @register(f"WITH {P} SELECT pitcher, game_date, count(*)::BIGINT AS n, (year(game_date) * 100 + month(game_date))::INT AS month FROM p GROUP BY 1, 2, 4")

@@ -35,15 +35,54 @@ def overwrite_partitions(df: DataFrame, path: str, by: str) -> None:
 def upsert(new: DataFrame, path: str, keys: list[str], by: str) -> None:
     """Delete by key, then insert, in the partitions that hold a key of ``new`` or receive its rows.
 
-    The result is staged beside the table first, since a table cannot be read and overwritten in one plan.
+    The result is staged in the shared folder first, since a table cannot be read and overwritten in one plan. A partition
+    that loses all its rows gets none from the dynamic overwrite, so its folder is deleted. Of ``new``, one row for each key is expected.
     """
     spark = new.sparkSession
+    new = stored(new, "upsert-new")  # read several times below
     old = spark.read.parquet(path)
-    touched = old.join(new.select(keys).distinct(), keys, "left_semi").select(by).union(new.select(by)).distinct()
+    hit = old.join(new.select(keys).distinct(), keys, "left_semi").select(by).distinct()
+    touched = stored(hit.union(new.select(by)).distinct(), "upsert-touched")
     kept = old.join(touched, by, "left_semi").join(new.select(keys).distinct(), keys, "left_anti")
-    stage = f"{path.rstrip('/')}.stage-{uuid.uuid4().hex[:8]}"
-    kept.unionByName(new, allowMissingColumns=True).write.parquet(stage)
-    overwrite_partitions(spark.read.parquet(stage), path, by)
+    staged = stored(kept.unionByName(new, allowMissingColumns=True), "upsert-rows")
+    overwrite_partitions(staged, path, by)
+    emptied = touched.join(staged.select(by).distinct(), touched[by].eqNullSafe(staged[by]), "left_anti")
+    for row in emptied.toLocalIterator():  # partitions, not rows of the table
+        drop_partition(spark, path, by, row[0])
+
+
+def drop_partition(spark: SparkSession, path: str, by: str, value) -> None:
+    """Delete a partition's folder, by Spark's own file system."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(by, None if value is None else str(value))
+    where = hadoop.Path(f"{path.rstrip('/')}/{name}")
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def delete_dates_insert(new: DataFrame, path: str, date: str) -> None:
+    """Delete the dates of ``new``, then insert: a date is a partition, so a rerun changes nothing."""
+    overwrite_partitions(new, path, date)
+
+
+def append(new: DataFrame, path: str, schema: str) -> None:
+    """Append with an explicit schema: columns are cast and ordered by it, missing ones are null."""
+    fields = new.sparkSession.createDataFrame([], schema).schema
+    new.select(*[(F.col(f.name).cast(f.dataType) if f.name in new.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in fields]).write.mode("append").parquet(path)
+
+
+def truncate_and_load(new: DataFrame, path: str) -> None:
+    stored(new, "load").write.mode("overwrite").parquet(path)
+
+
+def ndjson(df: DataFrame, path: str) -> None:
+    """A JSON object a line."""
+    df.write.mode("overwrite").json(path)
+
+
+def create_table_as(df: DataFrame, name: str, path: str, by: list[str], cluster: list[str] | None = None) -> None:
+    """CREATE OR REPLACE TABLE AS SELECT, partitioned, and clustered by a sort inside each partition."""
+    laid = df.repartition(*by) if by else df
+    laid.sortWithinPartitions(*by, *(cluster or [])).write.mode("overwrite").option("path", path).partitionBy(*by).saveAsTable(name)
 
 
 def clean_nan(df: DataFrame) -> DataFrame:

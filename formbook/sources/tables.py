@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -15,13 +15,22 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_games(table(spark, sf_dir, "orders"))
 
 
-def as_games(orders: DataFrame) -> DataFrame:
+def leagues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The games in leagues of thirty teams whose teams never meet those of another."""
+    return as_leagues(table(spark, sf_dir, "orders"))
+
+
+def as_leagues(orders: DataFrame) -> DataFrame:
+    return as_games(orders, F.expr("o_custkey div 30").alias("league"))
+
+
+def as_games(orders: DataFrame, *more: Column) -> DataFrame:
     key, cust, price = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")
     return orders.select(
         key.alias("game_pk"), F.to_date("o_orderdate").alias("game_date"), F.year("o_orderdate").cast("long").alias("season"),
         (cust % 30).alias("home_team_id"), ((cust + 1 + key % 29) % 30).alias("away_team_id"),
         (F.floor(price) % 11).alias("home_score"), (F.floor(price / 11) % 11).alias("away_score"),
-        (cust % 30).alias("venue_id"), F.col("o_orderstatus").alias("status_code"),
+        (cust % 30).alias("venue_id"), F.col("o_orderstatus").alias("status_code"), *more,
     )
 
 
@@ -103,3 +112,40 @@ def boxscore_lineups(raw: DataFrame, json_col: str = "body") -> DataFrame:
         "game_pk", F.col("p.value.person.id").alias("player_id"), F.col("p.value.person.fullName").alias("player_name"), F.floor(order / 100).cast("int").alias("batting_order"),
         F.coalesce(order % 100 == 0, F.lit(False)).alias("is_starter"), F.coalesce("p.value.probable", F.lit(False)).alias("is_probable_pitcher"),
     ).where("batting_order IS NOT NULL OR is_probable_pitcher")
+
+
+def read_pitch_csv(spark: SparkSession, path: str, keep: list[str]) -> DataFrame:
+    """A pitch feed's CSV files with the known columns alone, as strings."""
+    return known_columns(spark.read.csv(path, header=True), keep)
+
+
+def between_dates(df: DataFrame, date: str, first: str, until: str) -> DataFrame:
+    """Rows of [first, until): literals, so that partitions and row groups are pruned."""
+    return df.where((F.col(date) >= F.lit(first).cast("date")) & (F.col(date) < F.lit(until).cast("date")))
+
+
+def restricted(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is listed; the list is a table, of any length."""
+    return df.join(keys.select(key).distinct(), key, "left_semi")
+
+
+RESULTS = (
+    "dates array<struct<games: array<struct<gamePk: string, officialDate: string, seriesGameNumber: int, gamesInSeries: int, status: struct<detailedState: string>,"
+    "teams: struct<home: struct<score: int, team: struct<id: string>, probablePitcher: struct<id: string>>, away: struct<score: int, team: struct<id: string>, probablePitcher: struct<id: string>>>>>>>"
+)
+
+
+def season_results(raw: DataFrame, json_col: str = "body") -> DataFrame:
+    """Finished games of landed schedule payloads, with series context and probable starters; ids that are no numbers are null."""
+    g = raw.select(F.explode(F.from_json(json_col, RESULTS)["dates"]).alias("d")).select(F.explode("d.games").alias("g")).where("g.status.detailedState = 'Final'")
+    number = lambda c: F.col(c).try_cast("long")
+    return g.select(
+        number("g.gamePk").alias("game_pk"), F.to_date("g.officialDate").alias("game_date"), number("g.teams.home.team.id").alias("home_team_id"), number("g.teams.away.team.id").alias("away_team_id"),
+        F.col("g.teams.home.score").alias("home_score"), F.col("g.teams.away.score").alias("away_score"), number("g.teams.home.probablePitcher.id").alias("home_starter_id"),
+        number("g.teams.away.probablePitcher.id").alias("away_starter_id"), F.col("g.seriesGameNumber").alias("series_game_number"), F.col("g.gamesInSeries").alias("games_in_series"),
+    )
+
+
+def typed_landing(raw: DataFrame, fields: dict[str, tuple[str, str]], json_col: str = "body") -> DataFrame:
+    """A raw landing table as a typed one. fields: column -> (JSON path, type); what does not parse is null."""
+    return raw.select(*[F.get_json_object(json_col, path).try_cast(kind).alias(c) for c, (path, kind) in fields.items()])
