@@ -7,14 +7,16 @@ meet, these are made *out of fold* in training: each fold's documents are predic
 a model that has not seen them.
 
 The vocabulary holds words and word beginnings, which carry stems through inflected forms. It is
-chosen by a chi-squared score over the sample, counted in Spark.
+chosen by a chi-squared score over the sample, counted in Spark; each fold's model has a vocabulary of its own, chosen without
+the fold, so that out-of-fold probabilities have seen nothing of the held-out labels.
 
 Scale: training sees at most ``sample`` labelled documents, the first by a hash of their ids; with the
-vocabulary (at most ``features``) this bounds what the driver and the broadcast model hold. Scoring is one
+vocabulary (at most ``features``) this bounds the sketch of the sample. The models of a category - one for each fold and one
+for all - are fitted side by side, each in a task of its own that reads the sketch; the driver gets weights and out-of-fold probabilities. Scoring is one
 map over all documents and their whole texts, without a shuffle.
 
-Edge cases: a null or empty text has no words and is scored by the intercept and shape alone; null labels and
-labels of unknown documents are left out; a doc_id with several labels or texts trains with each; repeated rows
+Edge cases: a null or empty text has no words, trains nothing and is scored by the intercept and shape alone; a document trains the
+categories of which it has a label; labels of unknown documents are left out; a doc_id with several labels or texts trains with each; repeated rows
 are scored alike; without labels of both kinds a category's probability is its share (0 without any labels);
 an empty table gives an empty result; extra columns are not read.
 """
@@ -24,13 +26,15 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formbook.llm.common import ship
+from formbook.llm.common import materialize, ship
 
 #: Bounds on what training may hold: labelled documents, vocabulary, folds.
 SAMPLE, FEATURES, FOLDS = 20_000, 2_000, 5
@@ -79,15 +83,17 @@ class Rows:
         return np.concatenate([np.bincount(self.flat, r[self.row], self.width), self.dense.T @ r])
 
 
-def logistic(x: Rows, y: np.ndarray, use: np.ndarray, l2: float = 0.002, rounds: int = 120) -> np.ndarray:
+def logistic(x: Rows, y: np.ndarray, use: np.ndarray, columns: np.ndarray | None = None, l2: float = 0.002, rounds: int = 120) -> np.ndarray:
     """Weights of a regularised logistic regression (last: intercept) by accelerated gradients with restarts.
 
-    Columns are scaled to unit length first, so that rare terms move as fast as common ones.
+    Columns are scaled to unit length first, so that rare terms move as fast as common ones. ``use``: rows to train on; ``columns``: terms that may have a weight.
     """
     keep = use.astype(float)
     length = np.concatenate([np.bincount(x.flat, keep[x.row], x.width), (x.dense**2 * keep[:, None]).sum(0)])
     scale = 1 / np.sqrt(np.maximum(length, 1e-9))
     scale[length == 0] = 0.0
+    if columns is not None:
+        scale[: x.width][~columns] = 0.0
     dot, transposed = lambda w: x.dot(scale * w), lambda r: scale * x.transposed(keep * r)
     norm = np.ones(len(scale))
     for _ in range(10):  # largest curvature, by power iteration
@@ -135,27 +141,24 @@ def logit(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p)) / 4
 
 
-def fit_chain(chain: Chain, indices: list[np.ndarray], shapes: np.ndarray, labels: np.ndarray, fold: np.ndarray, folds: int = FOLDS) -> Chain:
-    """Fit the models in order; ``labels`` has a column for each category."""
-    dense = np.hstack([shapes, np.ones((len(shapes), 1))])
-    earlier = np.empty((len(indices), 0))
-    for y in labels.T:
-        full = Rows(indices, np.hstack([dense[:, :-1], logit(earlier), dense[:, -1:]]), len(chain.vocabulary))
-        out_of_fold = np.zeros(len(y))
-        for f in range(folds):
-            held = fold == f
-            if held.any():
-                out_of_fold[held] = sigmoid(full.dot(logistic(full, y, ~held)))[held]
-        chain.weights.append(logistic(full, y, np.ones(len(y), bool)))
-        # The threshold with the fewest errors out of fold; between equals, the one nearest to one half.
-        tries = np.linspace(0.2, 0.8, 61)
-        errors = [int(((out_of_fold >= t) != (y > 0.5)).sum()) for t in tries]
-        at = min(range(len(tries)), key=lambda i: (errors[i], abs(tries[i] - 0.5)))
-        hit = out_of_fold >= tries[at]
-        chain.thresholds.append(float(tries[at]))
-        chain.quality.append({"recall": float(hit[y > 0.5].mean()) if (y > 0.5).any() else 1.0, "false_positives": float(hit[y < 0.5].mean()) if (y < 0.5).any() else 0.0})
-        earlier = np.hstack([earlier, out_of_fold[:, None]])
-    return chain
+def fitted(sketch: DataFrame, category: int, columns: list[np.ndarray], earlier: dict[int, list[float]], folds: int) -> tuple[np.ndarray, dict[int, float]]:
+    """Weights of the model of all rows, and each row's out-of-fold probability. ``earlier``: the probabilities of earlier categories by row."""
+
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["doc_id", "row"], kind="stable")
+        which, ids = int(rows["fit"].iloc[0]), rows["row"].to_numpy()
+        y, fold = np.array([v[category] for v in rows["y"]], float), rows["fold"].to_numpy()
+        seen = np.array([earlier[i] for i in ids]).reshape(len(ids), -1) if earlier else np.empty((len(ids), 0))
+        dense = np.hstack([np.array([list(v) for v in rows["shape"]]), logit(seen), np.ones((len(ids), 1))])
+        x = Rows([np.asarray(i, np.int64) for i in rows["indices"]], dense, len(columns[which]))
+        w = logistic(x, np.maximum(y, 0), (y >= 0) & (fold != which), columns[which])
+        held = fold == which
+        return pd.DataFrame({"fit": [which], "weights": [w if which == folds else np.empty(0)], "rows": [ids[held]], "held": [sigmoid(x.dot(w))[held]]})
+
+    every = sketch.withColumn("fit", F.explode(F.sequence(F.lit(0), F.lit(folds))))
+    found = every.groupBy("fit").applyInPandas(fit, "fit int, weights array<double>, rows array<long>, held array<double>").collect()  # bounded by sample and vocabulary
+    weights = next((np.array(r.weights) for r in found if r.fit == folds), np.empty(0))
+    return weights, {i: p for r in found for i, p in zip(r.rows, r.held, strict=True)}
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, sample: int = SAMPLE, features: int = FEATURES, seed: int = 23) -> Chain:
@@ -163,42 +166,69 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
     spark = docs.sparkSession
     ship(spark)
     names = list(categories)
-    truth = labels.select(F.col("doc_id").alias("_id"), *[c.cast("int").alias(f"y_{i}") for i, c in enumerate(categories.values())]).dropna()
+    labelled = [F.col(f"y_{i}").isNotNull() for i in range(len(names))]
+    truth = labels.select(F.col("doc_id").alias("_id"), *[c.cast("int").alias(f"y_{i}") for i, c in enumerate(categories.values())]).where(F.col("_id").isNotNull() & reduce(Column.__or__, labelled))
     chosen = truth.withColumn("_order", F.xxhash64("_id", F.lit(seed))).orderBy("_order", "_id", *[f"y_{i}" for i in range(len(names))]).limit(sample)
-    met = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # at most ``sample`` rows
-    met = met.select("doc_id", "text", "_order", F.array(*[f"y_{i}" for i in range(len(names))]).alias("y"))
+    met = docs.select("doc_id", "text").where(F.length(F.trim("text")) > 0).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # at most ``sample`` rows
+    met = met.select("doc_id", "text", F.pmod("_order", F.lit(FOLDS)).cast("int").alias("fold"), F.array(*[F.coalesce(f"y_{i}", F.lit(-1)) for i in range(len(names))]).alias("y"))
+    kinds = 2 * len(names)  # for each category: documents with a label, and with a true one
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, list[int]] = {}
         for batch in batches:
-            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for text, fold, y in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                adds = [(fold * kinds + 2 * i + k, 1) for i, v in enumerate(y) for k in (0, 1) if v >= k]
                 for t in terms(text):
                     c = counts.get(t)
                     if c is None:
-                        c = counts[t] = [0] * (1 + len(names))
-                    c[0] += 1
-                    for i, v in enumerate(y):
-                        c[i + 1] += v
-        yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.list_(pa.int64()))], ["term", "n"])
-
-    per_task = met.select("text", "y").mapInArrow(counted, "term string, n array<bigint>")
-    totals = per_task.groupBy("term").agg(*[F.sum(F.element_at("n", i + 1)).alias(f"n_{i}") for i in range(len(names) + 1)]).where(F.col("n_0") >= LEAST_DOCS)
-    kinds = met.agg(F.count(F.lit(1)).alias("n_0"), *[F.coalesce(F.sum(F.element_at("y", i + 1)), F.lit(0)).alias(f"n_{i + 1}") for i in range(len(names))]).first()
+                        c = counts[t] = [0] * (FOLDS * kinds)
+                    for at, n in adds:
+                        c[at] += n
+        yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.list_(pa.int32()))], ["term", "n"])
+
+    per_task = met.select("text", "fold", "y").mapInArrow(counted, "term string, n array<int>")
+    totals = per_task.groupBy("term").agg(*[F.sum(F.element_at("n", k + 1)).alias(f"n_{k}") for k in range(FOLDS * kinds)])
+    most = reduce(Column.__add__, [F.greatest(*[F.col(f"n_{f * kinds + 2 * i}") for i in range(len(names))]) for f in range(FOLDS)])
+    totals = materialize(totals.where(most >= LEAST_DOCS), "term-counts")
+    flags = [F.element_at("y", i + 1) >= k for i in range(len(names)) for k in (0, 1)]
+    whole = {r.fold: list(r)[1:] for r in met.groupBy("fold").agg(*[F.count_if(c).alias(f"c_{i}") for i, c in enumerate(flags)]).collect()}
     chain = Chain(names)
-    if not kinds["n_0"]:
+    if not whole:
         return chain
+    chosen_terms = [{r.term for r in _best(totals, whole, kinds, held).limit(features).collect()} for held in range(FOLDS + 1)]  # the last leaves no fold out
+    every = sorted(set().union(*chosen_terms))
+    chain.vocabulary = {t: i for i, t in enumerate(sorted(chosen_terms[-1]))}
+    columns = [np.array([t in c for t in every], bool) for c in chosen_terms]
+    sketch = met.mapInArrow(_sketch(Chain(names, {t: i for i, t in enumerate(every)})), "doc_id long, fold int, indices array<int>, shape array<double>, y array<int>")
+    sketch = materialize(sketch.withColumn("row", F.monotonically_increasing_id()), "sketch")
+    y = {r.row: r.y for r in sketch.select("row", "y").collect()}  # at most ``sample`` rows
+    earlier: dict[int, list[float]] = {}
+    for i in range(len(names)):
+        weights, held = fitted(sketch, i, columns, earlier, FOLDS)
+        known = [r for r in held if y[r][i] >= 0]
+        p, truths = np.array([held[r] for r in known]), np.array([y[r][i] for r in known])
+        # The threshold with the fewest errors out of fold; between equals, the one nearest to one half.
+        tries = np.linspace(0.2, 0.8, 61)
+        errors = [int(((p >= t) != (truths == 1)).sum()) for t in tries]
+        at = min(range(len(tries)), key=lambda j: (errors[j], abs(tries[j] - 0.5)))
+        hit = p >= tries[at]
+        chain.weights.append(np.concatenate([weights[: len(every)][columns[-1]], weights[len(every) :]]))
+        chain.thresholds.append(float(tries[at]))
+        chain.quality.append({"recall": float(hit[truths == 1].mean()) if (truths == 1).any() else 1.0, "false_positives": float(hit[truths == 0].mean()) if (truths == 0).any() else 0.0})
+        earlier = {r: [*earlier.get(r, []), q] for r, q in held.items()}
+    return chain
+
+
+def _best(totals: DataFrame, whole: dict[int, list[int]], kinds: int, held: int) -> DataFrame:
+    """Terms by their best chi-squared score over the categories, counted without the fold ``held``."""
+    folds = [f for f in range(FOLDS) if f != held]
     chi = F.lit(0.0)
-    for i in range(1, len(names) + 1):
-        n, pos = float(kinds["n_0"]), float(kinds[f"n_{i}"])
+    for k in range(0, kinds, 2):
+        n, pos = (float(sum(whole[f][k + j] for f in folds if f in whole)) for j in (0, 1))
         if 0 < pos < n:
-            a, b = F.col(f"n_{i}").cast("double"), F.col("n_0").cast("double")
-            chi = F.greatest(chi, n * F.pow(a * n - b * pos, 2) / (b * pos * (n - b + 0.5) * (n - pos)))
-    best = totals.where(chi >= LEAST_SCORE).orderBy(chi.desc(), "term").limit(features).select("term").collect()
-    chain.vocabulary = {r.term: i for i, r in enumerate(sorted(best))}
-    held = met.mapInArrow(_sketch(chain), "doc_id long, fold int, indices array<int>, shape array<double>, y array<int>").toPandas()  # bounded by the sample
-    held = held.sort_values("doc_id", kind="stable")
-    indices = [np.asarray(i, np.int64) for i in held["indices"]]
-    return fit_chain(chain, indices, np.array([list(x) for x in held["shape"]]), np.array([list(y) for y in held["y"]], float), held["fold"].to_numpy())
+            b, a = (reduce(Column.__add__, [F.col(f"n_{f * kinds + k + j}") for f in folds]).cast("double") for j in (0, 1))
+            chi = F.greatest(chi, F.coalesce(n * F.pow(a * n - b * pos, 2) / F.nullif(b * pos * (n - b + 0.5) * (n - pos), F.lit(0.0)), F.lit(0.0)))
+    return totals.select("term", chi.alias("chi")).where(F.col("chi") >= LEAST_SCORE).orderBy(F.desc("chi"), "term")
 
 
 def _sketch(chain: Chain):
@@ -208,7 +238,7 @@ def _sketch(chain: Chain):
         for batch in batches:
             texts = batch.column(1).to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([o % FOLDS for o in batch.column(2).to_pylist()], pa.int32()), pa.array([chain.indices(t).tolist() for t in texts], pa.list_(pa.int32())), pa.array([shape(t) for t in texts], pa.list_(pa.float64())), batch.column(3)],
+                [batch.column(0), batch.column(2), pa.array([chain.indices(t).tolist() for t in texts], pa.list_(pa.int32())), pa.array([shape(t) for t in texts], pa.list_(pa.float64())), batch.column(3)],
                 ["doc_id", "fold", "indices", "shape", "y"],
             )
 

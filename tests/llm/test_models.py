@@ -52,6 +52,34 @@ def test_chain_catches_and_spares(spark):
     assert kept.columns == frame.columns and kept.count() == len(rows) - sum(got[r[0]].toxic for r in rows)
 
 
+def test_logistic_against_plain_descent():
+    rng = np.random.default_rng(4)
+    dense = np.hstack([rng.normal(size=(300, 2)), np.ones((300, 1))])
+    indices = [np.flatnonzero(rng.random(12) < 0.2) for _ in range(300)]
+    x = np.zeros((300, 15))
+    for i, js in enumerate(indices):
+        x[i, js] = 1
+    x[:, 12:] = dense
+    y = (x[:, 0] + x[:, 3] - x[:, 12] + rng.normal(size=300) > 0.5).astype(float)
+    use, columns = np.arange(300) % 5 != 0, np.arange(12) != 3
+    got = toxicity.logistic(toxicity.Rows(indices, dense, 12), y, use, columns, rounds=2000)
+    keep = np.append(columns, [True] * 3)
+    scale = np.where(keep, 1 / np.sqrt(np.maximum((x[use] ** 2).sum(0), 1e-9)), 0)
+    w = np.zeros(15)
+    for _ in range(40000):
+        penalty = np.append(np.full(14, 0.002), 0.0)
+        w -= 0.5 * (scale * (x[use].T @ (toxicity.sigmoid(x[use] @ (scale * w)) - y[use])) + penalty * w)
+    assert got[3] == 0 and np.allclose(got, w * scale, atol=1e-3)
+
+
+def test_chain_takes_part_labels_and_feeds_probabilities_on(spark):
+    rows = [(i, " ".join(prose(i, 30)) + (" zorg" if i % 3 == 0 else ""), "s") for i in range(300)]
+    labels = [(i, None if i % 2 else int(i % 3 != 0), int(i % 3 == 0)) for i in range(300)]  # quality is unknown for half of them
+    chain = toxicity.label_chain(docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert "zorg" in chain.vocabulary and [len(w) for w in chain.weights] == [len(chain.vocabulary) + 6, len(chain.vocabulary) + 7]
+    assert chain.weights[1][-2] > 0 and all(q["recall"] > 0.97 and q["false_positives"] < 0.03 for q in chain.quality)
+
+
 def test_chain_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     frame = docs(spark, [(1, "a b", "s")])
