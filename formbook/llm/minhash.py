@@ -229,7 +229,8 @@ def rooted_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     rooted = buckets.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     mixed = rooted.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.first("n").alias("n")).where("r0 != r1 and n > 2")
     members = rooted.join(mixed.select("band"), "band", "left_semi").select("class", "root").distinct()
-    more = materialize(confirmed(prefix_pairs(members.join(sets, "class"), percent), sets, percent), "links-rest")
+    pairs = materialize(prefix_pairs(members.join(sets, "class"), percent), "pairs")  # read more than once below
+    more = materialize(confirmed(pairs, sets, percent), "links-rest")
     if more.head(1):
         roots = materialize(components(reduce(DataFrame.unionByName, [links, more])), "roots")
     rows = signed.select("doc_id", "text_key", "n_shingles", "class")
