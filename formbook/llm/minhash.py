@@ -85,20 +85,16 @@ def _signatures(words: int, seed: int):
 
         a, b = universal(seed, BANDS * ROWS)
         for batch in batches:
-            n, cls, sig, bands = [], [], [], []
+            n, cls, sig = [], [], []
             for text in batch.column(1).to_pylist():
                 h = shingle_hashes(text, words)
                 n.append(len(h))
                 if not len(h):
-                    cls.append(None), sig.append(None), bands.append(None)
+                    cls.append(None), sig.append(None)
                     continue
-                m = minima(h, a, b)
                 cls.append(xxhash.xxh3_128_digest(h.tobytes()))
-                sig.append(m.tobytes())
-                bands.append([xxhash.xxh3_64_intdigest(m[i * ROWS : (i + 1) * ROWS].tobytes(), i) - 2**63 for i in range(BANDS)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "text_key", "n_shingles", "class", "sig", "bands"]
-            )
+                sig.append(minima(h, a, b).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(sig, pa.binary())], ["doc_id", "text_key", "n_shingles", "digest", "sig"])
 
     return of
 
@@ -108,12 +104,12 @@ def _sets(words: int):
         import xxhash
 
         for batch in batches:
-            cls, sets = [], []
-            for want, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            classes, sets = [], []
+            for cls, want, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 h = shingle_hashes(text, words)
                 if xxhash.xxh3_128_digest(h.tobytes()) == want:
-                    cls.append(want), sets.append(h.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["class", "set"])
+                    classes.append(cls), sets.append(h.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["class", "set"])
 
     return of
 
@@ -127,7 +123,13 @@ def _agreement(pairs: DataFrame) -> DataFrame:
             agree = (np.array(x) == np.array(y)).sum(axis=1) if x else []
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(agree, pa.int64())], ["a", "b", "n", "agree"])
 
-    return pairs.select("a", "b", "n", "sig_a", "sig_b").mapInArrow(of, "a binary, b binary, n long, agree long")
+    return pairs.select("a", "b", "n", "sig_a", "sig_b").mapInArrow(of, "a long, b long, n long, agree long")
+
+
+def bands(sig: Column) -> Column:
+    """The keys of a signature's bands."""
+    width = 4 * ROWS
+    return F.array(*[F.xxhash64(F.substring(sig, 1 + i * width, width), F.lit(i)) for i in range(BANDS)])
 
 
 def similar(n_a: Column, n_b: Column, both: Column, percent: int) -> Column:
@@ -166,10 +168,10 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(class, set) of the wanted classes: their texts are found again by hash and hashed once more."""
+    """(class, set) of the ``wanted`` classes (class, digest, text_key): their texts are found again by hash and hashed once more."""
     # ``wanted`` is a stored table, so adaptive execution splits the copies of one text; one of them leaves each task.
-    texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(wanted, "text_key").groupBy("class").agg(F.first("text").alias("text"))
-    return texts.select("class", "text").mapInArrow(_sets(words), "class binary, set array<bigint>")
+    texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(wanted, "text_key").groupBy("class", "digest").agg(F.first("text").alias("text"))
+    return texts.select("class", "digest", "text").mapInArrow(_sets(words), "class long, set array<bigint>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -210,9 +212,11 @@ def rooted_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     signed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    signed = materialize(signed.mapInArrow(_signatures(words, seed), "doc_id long, text_key long, n_shingles long, class binary, sig binary, bands array<bigint>"), "signatures")
-    classes = materialize(signed.where("class is not null").groupBy("class").agg(F.min_by("text_key", "text_key").alias("text_key"), F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n")), "classes")
-    banded = classes.select("class", F.explode("bands").alias("band"))
+    signed = materialize(signed.mapInArrow(_signatures(words, seed), "doc_id long, text_key long, n_shingles long, digest binary, sig binary"), "signatures")
+    classes = signed.where("digest is not null").groupBy("digest").agg(F.min_by("text_key", "text_key").alias("text_key"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("n"))
+    # Below, a class goes by its number: half as long as its hash, and stored here, so it stays when tasks run again.
+    classes = materialize(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
+    banded = classes.select("class", F.explode(bands(F.col("sig"))).alias("band"))
     pivots = banded.groupBy("band").agg(F.min("class").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = materialize(banded.join(pivots, "band"), "buckets")
     stars = buckets.where(F.col("class") != F.col("pivot")).groupBy(F.col("pivot").alias("a"), F.col("class").alias("b")).agg(F.min("n").alias("n"))
@@ -221,7 +225,7 @@ def rooted_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     # The pair of a bucket of two is verified whatever its signatures say: no later step looks at it again.
     agreed = materialize(agreed.where((F.col("agree") >= BANDS * ROWS * (percent / 100 - SLACK)) | (F.col("n") == 2)).select("a", "b"), "stars-agreed")
     # Sets are kept for the members of buckets with more than one class: they are verified below, or again after the stars.
-    wanted = materialize(buckets.select("class").distinct().join(classes.select("class", "text_key"), "class"), "wanted")
+    wanted = materialize(buckets.select("class").distinct().join(classes.select("class", "digest", "text_key"), "class"), "wanted")
     sets = materialize(shingle_sets(docs, wanted, words), "sets")
     links = materialize(confirmed(agreed, sets, percent), "links-star")
     roots = materialize(components(links), "roots")
@@ -233,12 +237,12 @@ def rooted_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     more = materialize(confirmed(pairs, sets, percent), "links-rest")
     if more.head(1):
         roots = materialize(components(reduce(DataFrame.unionByName, [links, more])), "roots")
-    rows = signed.select("doc_id", "text_key", "n_shingles", "class")
+    rows = signed.select("doc_id", "text_key", "n_shingles", "digest")
     # Roots meet classes, then rows: a class of very many copies is dealt out.
-    rooted = classes.select("class", "n").join(roots.withColumnRenamed("node", "class"), "class", "left").select("class", "n", F.coalesce("root", "class").alias("root"))
+    rooted = classes.select("class", "digest", "n").join(roots.withColumnRenamed("node", "class"), "class", "left").select("digest", "n", F.coalesce("root", "class").alias("root"))
     rooted = materialize(rooted, "class-roots")
-    words_in = skew_join(rows.where("class is not null"), rooted.select("class", "root"), ["class"], rooted.select("class", "n")).select("doc_id", "text_key", "n_shingles", "root")
-    none = rows.where("class is null").select("doc_id", "text_key", "n_shingles", F.lit(None).cast("binary").alias("root"))
+    words_in = skew_join(rows.where("digest is not null"), rooted.select("digest", "root"), ["digest"], rooted.select("digest", "n")).select("doc_id", "text_key", "n_shingles", "root")
+    none = rows.where("digest is null").select("doc_id", "text_key", "n_shingles", F.lit(None).cast("long").alias("root"))
     return materialize(words_in.unionByName(none), "rooted")
 
 
