@@ -192,9 +192,11 @@ def prefix_pairs(members: DataFrame, percent: int) -> DataFrame:
     share = 2 * t / (1 + t)
     n = F.size("set")
     loose = members.select("class", "root", n.alias("n"), F.explode("set").alias("s"))
-    often = loose.groupBy("s").agg(F.count(F.lit(1)).alias("often"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("often > 1")
-    ranked = loose.join(often, "s", "left").withColumn("rank", F.row_number().over(W.partitionBy("class").orderBy(F.coalesce("often", F.lit(1)), "s")))
-    ranked = ranked.where((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * t - 1e-9) + 1) & (F.col("r0") != F.col("r1")))
+    often = loose.groupBy("s").agg(F.count(F.lit(1)).alias("often"), (F.min("root") != F.max("root")).alias("apart")).where("often > 1")
+    # A shingle of one set alone meets no other: it only stands before the others in its set's ranks.
+    alone = F.col("n") - F.count(F.lit(1)).over(W.partitionBy("class"))
+    ranked = loose.join(often, "s").withColumn("rank", alone + F.row_number().over(W.partitionBy("class").orderBy("often", "s")))
+    ranked = ranked.where((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * t - 1e-9) + 1) & F.col("apart"))
     # The keys just before, so that a pair is made at its first common key alone.
     before = F.collect_list("s").over(W.partitionBy("class").orderBy("rank").rowsBetween(-16, -1))
     ranked = materialize(ranked.withColumn("before", before).withColumn("short", F.col("rank") <= F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1).select("s", "class", "root", "n", "rank", "before", "short"), "prefixes")
@@ -220,12 +222,14 @@ def rooted_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     pivots = banded.groupBy("band").agg(F.min("class").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = materialize(banded.join(pivots, "band"), "buckets")
     stars = buckets.where(F.col("class") != F.col("pivot")).groupBy(F.col("pivot").alias("a"), F.col("class").alias("b")).agg(F.min("n").alias("n"))
-    sig = lambda c: classes.select(F.col("class").alias(c), F.col("sig").alias(f"sig_{c}"))
+    # What is looked at again of the members of buckets with more than one class: their signatures, and their sets, which
+    # are verified below, or once more after the stars.
+    signs = materialize(buckets.select("class").distinct().join(classes.select("class", "digest", "text_key", "sig"), "class"), "wanted-signs")
+    wanted = materialize(signs.drop("sig"), "wanted")  # slim, so that Spark measures it without the signatures
+    sig = lambda c: signs.select(F.col("class").alias(c), F.col("sig").alias(f"sig_{c}"))
     agreed = _agreement(stars.join(sig("a"), "a").join(sig("b"), "b"))
     # The pair of a bucket of two is verified whatever its signatures say: no later step looks at it again.
     agreed = materialize(agreed.where((F.col("agree") >= BANDS * ROWS * (percent / 100 - SLACK)) | (F.col("n") == 2)).select("a", "b"), "stars-agreed")
-    # Sets are kept for the members of buckets with more than one class: they are verified below, or again after the stars.
-    wanted = materialize(buckets.select("class").distinct().join(classes.select("class", "digest", "text_key"), "class"), "wanted")
     sets = materialize(shingle_sets(docs, wanted, words), "sets")
     links = materialize(confirmed(agreed, sets, percent), "links-star")
     roots = materialize(components(links), "roots")
@@ -234,7 +238,8 @@ def rooted_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     mixed = rooted.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.first("n").alias("n")).where("r0 != r1 and n > 2")
     members = rooted.join(mixed.select("band"), "band", "left_semi").select("class", "root").distinct()
     pairs = materialize(prefix_pairs(members.join(sets, "class"), percent), "pairs")  # read more than once below
-    more = materialize(confirmed(pairs, sets, percent), "links-rest")
+    met = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()  # few classes: only their sets travel
+    more = materialize(confirmed(pairs, sets.join(met, "class", "left_semi"), percent), "links-rest")
     if more.head(1):
         roots = materialize(components(reduce(DataFrame.unionByName, [links, more])), "roots")
     rows = signed.select("doc_id", "text_key", "n_shingles", "digest")
