@@ -7,7 +7,11 @@ import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +67,16 @@ def ship(spark: SparkSession) -> None:
     context._formbook_shipped = True
 
 
+def chunks(batch: pa.RecordBatch, column: int, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of about ``most`` bytes of its text column; a longer text is a slice by itself."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def lower_ascii(c: Column) -> Column:
     """Lower-case A-Z alone; other letters stay."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
