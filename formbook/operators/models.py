@@ -6,22 +6,27 @@ frame many times: give a stored table (``sinks.stored``), not a long plan.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark import inheritable_thread_target
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from formbook.sources.sinks import stored
+
 LABEL = "home_won"
 #: The estimators by name; external boosters are replaced by Spark's gradient-boosted trees.
 KINDS = {
     "logistic": lambda **p: LogisticRegression(labelCol=LABEL, **{"regParam": 0.01} | p),
     "forest": lambda **p: RandomForestClassifier(labelCol=LABEL, **{"numTrees": 40, "maxDepth": 5, "seed": 7} | p),
+    "perceptron": lambda **p: MultilayerPerceptronClassifier(labelCol=LABEL, **{"maxIter": 120, "seed": 7} | p),
     "boosted": lambda **p: GBTClassifier(labelCol=LABEL, **{"maxIter": 20, "maxDepth": 3, "seed": 7} | p),
 }
 
@@ -32,7 +37,10 @@ def pipeline(features: list[str], estimator: Estimator) -> Pipeline:
     return Pipeline(stages=[Imputer(strategy="median", inputCols=features, outputCols=filled), VectorAssembler(inputCols=filled, outputCol="_raw"), StandardScaler(inputCol="_raw", outputCol="features", withMean=True), estimator])
 
 
-def fit(train: DataFrame, features: list[str], kind: str = "logistic", **params) -> PipelineModel:
+def fit(train: DataFrame, features: list[str], kind: str = "logistic", hidden: tuple[int, ...] = (16, 8), **params) -> PipelineModel:
+    """``hidden``: units of the perceptron's inner layers; its first layer has the features and its last the two classes."""
+    if kind == "perceptron":
+        params = {"layers": [len(features), *hidden, 2]} | params
     return pipeline(features, KINDS[kind](**params)).fit(as_double(train, features).where(F.col(LABEL).isNotNull()))
 
 
@@ -62,10 +70,10 @@ def walk_forward(df: DataFrame, features: list[str], kind: str = "logistic", sea
     return reduce(DataFrame.unionByName, parts)
 
 
-def metrics(scored: DataFrame, p: str = "p") -> DataFrame:
+def metrics(scored: DataFrame, p: str = "p", by: list[str] | None = None) -> DataFrame:
     sure = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col(p)))
     loss = -F.avg(F.when(F.col(LABEL) == 1, F.log(sure)).otherwise(F.log(1 - sure)))
-    return scored.agg(F.count(F.lit(1)).alias("n"), F.avg(((F.col(p) >= 0.5).cast("int") == F.col(LABEL)).cast("int")).alias("accuracy"), F.avg(F.pow(F.col(p) - F.col(LABEL), F.lit(2.0))).alias("brier"), loss.alias("log_loss"))
+    return scored.groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("n"), F.avg(((F.col(p) >= 0.5).cast("int") == F.col(LABEL)).cast("int")).alias("accuracy"), F.avg(F.pow(F.col(p) - F.col(LABEL), F.lit(2.0))).alias("brier"), loss.alias("log_loss"))
 
 
 def stacked(df: DataFrame, features: list[str], key: str = "game_pk", kinds: tuple[str, ...] = ("logistic", "forest"), season: str = "season", least: int = 3) -> tuple[DataFrame, list[PipelineModel], PipelineModel]:
@@ -83,10 +91,27 @@ def stack_score(models: list[PipelineModel], meta: PipelineModel, df: DataFrame,
     return score(meta, scored, [f"p_{k}" for k in kinds])
 
 
-def search(df: DataFrame, features: list[str], kind: str, grid: list[dict], season: str = "season", least: int = 3) -> DataFrame:
-    """Mean out-of-fold log loss of every parameter set, best first."""
-    rows = [metrics(walk_forward(df, features, kind, season, least, **g)).withColumn("params", F.lit(str(g))) for g in grid]
-    return reduce(DataFrame.unionByName, rows).orderBy("log_loss", "params")
+def search(df: DataFrame, features: list[str], kind: str, grid: list[dict], season: str = "season", least: int = 3, side_by_side: int = 4) -> DataFrame:
+    """Out-of-fold metrics of every parameter set over all walk-forward folds, best log loss first.
+
+    Parameter sets times folds are fitted ``side_by_side`` at a time over ``df`` (give a stored table); each fit sees seasons before its fold alone.
+    What the jobs leave is one small table of probabilities for each.
+    """
+    folds = seasons(df, season, least)
+    if not folds:
+        raise ValueError(f"fewer than {least + 1} seasons")
+
+    def one(task: tuple[int, int]) -> DataFrame:
+        g, s = task
+        model = fit(df.where(F.col(season) < s), features, kind, **grid[g])
+        scored = score(model, df.where(F.col(season) == s), features).where(F.col(LABEL).isNotNull())
+        return stored(scored.select(F.lit(g).alias("set"), F.col(season).alias("fold"), LABEL, "p"), "search")
+
+    with ThreadPoolExecutor(side_by_side) as pool:
+        parts = list(pool.map(inheritable_thread_target(df.sparkSession)(one), [(g, s) for g in range(len(grid)) for s in folds]))
+    names = df.sparkSession.createDataFrame([(g, str(p)) for g, p in enumerate(grid)], "set int, params string")
+    every = reduce(DataFrame.unionByName, parts)
+    return metrics(every, by=["set"]).join(names, "set").drop("set").orderBy("log_loss", "params")
 
 
 def ablation(df: DataFrame, groups: dict[str, list[str]], kind: str = "logistic", season: str = "season", least: int = 3) -> DataFrame:

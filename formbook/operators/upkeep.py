@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from formbook.operators.dedup import latest_per_key
+from formbook.sources.sinks import stored
 
 
 def union_aligned(parts: list[DataFrame], like: str) -> DataFrame:
@@ -43,21 +44,30 @@ def coalesced(base: DataFrame, sources: list[DataFrame], key: str) -> DataFrame:
     return out.select(key, *[first(c).alias(c) for c in columns])
 
 
-def medians(df: DataFrame, columns: list[str], bins: int = 512) -> dict[str, float | None]:
-    """Exact medians: the bin of the middle rank is cut up again until it holds one value. The driver sees counts of bins alone."""
-    ends = df.agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(columns) for n, f in (("lo", F.min), ("hi", F.max), ("n", F.count))]).first()
+def medians(df: DataFrame, columns: list[str], bins: int = 2048) -> dict[str, float | None]:
+    """Exact medians of what is neither null nor NaN: the bin of the middle rank is cut up again until it holds one value. The driver sees counts of bins alone.
+
+    The columns are stored first. Infinities are counted at the ends; where the middle lies between the two of them the median is null.
+    """
+    inf = float("inf")
+    x = stored(df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(columns)]), "medians")
+    finite = lambda i: F.when(F.abs(f"x{i}") < inf, F.col(f"x{i}"))
+    ends = x.agg(*[f.alias(f"{n}_{i}") for i in range(len(columns)) for n, f in (("lo", F.min(finite(i))), ("hi", F.max(finite(i))), ("n", F.count(f"x{i}")), ("under", F.count_if(F.col(f"x{i}") == -inf)), ("over", F.count_if(F.col(f"x{i}") == inf)))]).first()
     goals = {}  # (column number, which middle) -> [rank inside, low, high]
     for i in range(len(columns)):
+        n, under, over = (ends[f"{k}_{i}"] for k in ("n", "under", "over"))
         for side in (0, 1):
-            if ends[f"n_{i}"]:
-                goals[i, side] = [(ends[f"n_{i}"] - 1 + side) // 2, float(ends[f"lo_{i}"]), float(ends[f"hi_{i}"])]
+            if n:
+                rank = (n - 1 + side) // 2
+                goals[i, side] = [0, -inf, -inf] if rank < under else [0, inf, inf] if rank >= n - over else [rank - under, float(ends[f"lo_{i}"]), float(ends[f"hi_{i}"])]
     while open_goals := {g: v for g, v in goals.items() if v[1] < v[2]}:
         structs = []
         for (i, side), (_, low, high) in open_goals.items():
-            x = F.col(columns[i]).cast("double")
-            place = F.least(F.floor((x - low) / ((high - low) / bins)), F.lit(bins - 1)).cast("int")
-            structs.append(F.when((x >= low) & (x <= high), F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), place.alias("bin"), x.alias("x"))))
-        per = df.select(F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("s")).groupBy("s.i", "s.side", "s.bin").agg(F.count(F.lit(1)).alias("n"), F.min("s.x").alias("low"), F.max("s.x").alias("high"))
+            v, step = F.col(f"x{i}"), high / bins - low / bins
+            # Where a step is too small to tell values apart, there are no more values than bins, and each is its own.
+            place = F.least(F.floor((v - low) / step), F.lit(bins - 1)).cast("double") if step > 0 and low + step > low and high - step < high and high - low < inf else F.least(F.floor(v / step - low / step), F.lit(bins - 1)).cast("double") if high - low == inf else v
+            structs.append(F.when((v >= low) & (v <= high), F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), place.alias("bin"), v.alias("x"))))
+        per = x.select(F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("s")).groupBy("s.i", "s.side", "s.bin").agg(F.count(F.lit(1)).alias("n"), F.min("s.x").alias("low"), F.max("s.x").alias("high"))
         found: dict = {}
         for r in per.collect():  # at most two times ``bins`` rows for each column
             found.setdefault((r.i, r.side), []).append(r)
@@ -69,7 +79,8 @@ def medians(df: DataFrame, columns: list[str], bins: int = 512) -> dict[str, flo
                     goals[g] = [rank, r.low, r.high] if at is None else [0, at, at]
                     break
                 rank -= r.n
-    return {c: (goals[i, 0][1] + goals[i, 1][1]) / 2 if (i, 0) in goals else None for i, c in enumerate(columns)}
+    middle = lambda a, b: a if a == b else None if a == -inf and b == inf else a / 2 + b / 2 if abs(a) > 1e300 else (a + b) / 2
+    return {c: middle(goals[i, 0][1], goals[i, 1][1]) if (i, 0) in goals else None for i, c in enumerate(columns)}
 
 
 def filled(df: DataFrame, defaults: dict[str, float], rest: list[str]) -> DataFrame:

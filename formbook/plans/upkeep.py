@@ -10,7 +10,7 @@ from formbook.functions import scalars as S
 from formbook.operators import dedup, quality, upkeep
 from formbook.operators import windows as win
 from formbook.plans.catalog import ALL_T, MONTHS, G, P, T, games, pitches, r6, register, table, team_order, team_rows
-from formbook.sources import sinks
+from formbook.sources import sinks, versions
 from formbook.sources.tables import between_dates, restricted
 
 TODAY = "DATE '1998-12-31'"
@@ -97,13 +97,13 @@ def k7_records_per_year(spark, d):
  SELECT game_pk, part::BIGINT AS part, v::BIGINT AS v FROM o WHERE game_pk NOT IN (SELECT game_pk FROM n) UNION ALL SELECT game_pk, part, v FROM n"""
 )
 def s16_s17_upsert(spark, d):
-    """Every third row moves to another partition and changes; then the same upsert again, which changes nothing."""
+    """Every third row moves to another partition and changes; then the same upsert again, which changes nothing. Each is one version of the table."""
     g, path = games(spark, d), sinks.shared_folder(spark, "s17")
-    g.where("game_pk % 2 = 0").select("game_pk", (F.col("season") % 3).alias("part"), F.col("home_score").cast("long").alias("v")).write.partitionBy("part").parquet(path)
+    versions.create(g.where("game_pk % 2 = 0").select("game_pk", (F.col("season") % 3).alias("part"), F.col("home_score").cast("long").alias("v")), path, "part", ["game_pk"])
     new = g.where("game_pk % 6 = 0").select("game_pk", ((F.col("season") + 1) % 3).alias("part"), F.lit(99).cast("long").alias("v"))
     for _ in range(2):
-        sinks.upsert(new, path, ["game_pk"], "part")
-    return spark.read.parquet(path).select("game_pk", F.col("part").cast("long").alias("part"), "v")
+        versions.upsert(new, path)
+    return versions.read(spark, path).select("game_pk", F.col("part").cast("long").alias("part"), "v")
 
 
 @register(f"WITH {G} SELECT game_pk, game_date, home_score FROM g WHERE game_date >= DATE '1996-06-01' AND game_date < DATE '1996-09-01' AND venue_id IN (SELECT venue_id FROM g GROUP BY 1 HAVING count(*) % 2 = 0)")

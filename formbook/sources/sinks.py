@@ -1,7 +1,8 @@
-"""Sinks: idempotent partition overwrites and keyed upserts over Parquet."""
+"""Sinks over plain Parquet folders, for tables that nobody reads meanwhile; ``versions`` has those whose readers see whole states alone."""
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,12 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir; under the warehouse where that is not set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A new folder under spark.checkpoint.dir; under the warehouse where that is not set, and only for a local master."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/formbook-{name}-{uuid.uuid4().hex}"
 
 
@@ -85,6 +90,25 @@ def create_table_as(df: DataFrame, name: str, path: str, by: list[str], cluster:
     laid.sortWithinPartitions(*by, *(cluster or [])).write.mode("overwrite").option("path", path).partitionBy(*by).saveAsTable(name)
 
 
+def bucketed_table(df: DataFrame, name: str, path: str, key: str, buckets: int, bounds: tuple[int, int, int] | None = None) -> None:
+    """CREATE OR REPLACE TABLE AS SELECT in ``buckets`` sorted buckets of ``key``: two such tables join on it without an exchange or a sort.
+
+    ``bounds`` (first, end, step) adds integer ranges of the key as partitions (``key_range``, its first value; null outside), so that a range of keys prunes folders.
+    """
+    writer = df
+    if bounds:
+        writer = df.withColumn("key_range", range_of(key, *bounds))
+    # one task for each bucket writes one file, so that a bucket is sorted as a whole
+    laid = writer.repartition(buckets, key)
+    out = laid.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key)
+    (out.partitionBy("key_range") if bounds else out).saveAsTable(name)
+
+
+def range_of(key: str, first: int, end: int, step: int):
+    """The first key of its range of ``step`` keys, in [first, end); null outside."""
+    return F.when((F.col(key) >= first) & (F.col(key) < end), F.col(key) - F.pmod(F.col(key) - first, F.lit(step)))
+
+
 def clean_nan(df: DataFrame) -> DataFrame:
     """NaN to null in every floating column: null is the only missing value."""
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c, t in df.dtypes if t in ("double", "float")})

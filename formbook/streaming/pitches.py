@@ -5,21 +5,16 @@ Every function takes a streaming frame and returns one; they run on batches as w
 
 from __future__ import annotations
 
-import heapq
 import json
-import os
-import tempfile
-from collections.abc import Iterator
-from itertools import pairwise
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from formbook.operators import elo
-from formbook.sources import sinks
+from formbook.operators.dedup import latest_per_key
+from formbook.sources import sinks, versions
 
 EVENT_KEY = ["game_pk", "pitcher", "batter", "game_date", "events"]
 
@@ -59,79 +54,107 @@ def enrich(stream: DataFrame, dimension: DataFrame, keys: list[str]) -> DataFram
     return stream.join(dimension, keys, "left")
 
 
-RATED = "pool string, game_pk long, home_elo double, away_elo double, accepted boolean"
-#: Games that a trigger sorts in memory at once; more are sorted in runs of so many, in a temporary file of the task.
-RUN = 500_000
+RATED = "pool string, game_pk long, home_elo double, away_elo double, accepted boolean, revision long"
+#: Days that a stretch of the calendar covers: its games and the ratings at its start are one entry of a pool's state.
+STRETCH = 120
+GAMES = ["day", "game_pk", "season", "home_team_id", "away_team_id", "result"]
 
 
-def live_ratings(stream: DataFrame, pool: str | None = None) -> DataFrame:
-    """Pre-game ratings with keyed state: ratings, last day and season of a pool.
+class LateRatings(StatefulProcessor):
+    """A pool's state: for each stretch of days its games and the ratings before its first.
 
-    The games of a trigger are applied in (day, game) order; a game dated before the last applied day comes out
-    with ``accepted`` false and null ratings, to be replayed in batch.
+    A trigger's games go to their stretches; from the first stretch that got any, ratings are taken from its start and played to the end
+    again, so a late game changes what comes after it and nothing before. Memory holds one stretch. Stretches that lie more than
+    ``keep`` days behind the pool's last day are let go with their games, and games of theirs come out as not accepted; a timer does so for a pool
+    that gets no more games, once the watermark is that far.
     """
-    return elo.results(stream, pool).groupBy("pool").applyInPandasWithState(_rate, RATED, "state string", "append", GroupStateTimeout.NoTimeout)
-
-
-SLIM = np.dtype([("day", "i8"), ("game_pk", "i8"), ("season", "i8"), ("home_team_id", "i8"), ("away_team_id", "i8"), ("result", "f8")])
-UNKNOWN = np.iinfo(np.int64).max  # a null game_pk, which comes last
-
-
-def _in_order(parts: Iterator[pd.DataFrame], run: int) -> Iterator[tuple]:
-    """The games of all parts by (day, game); memory holds one run, or a block of every run."""
-    names = list(SLIM.names)
-
-    def block(part: pd.DataFrame) -> np.ndarray:
-        if part[names].drop(columns="game_pk").isna().any(axis=None):
-            raise ValueError("a game without a date, season or team cannot be rated")
-        rows = np.empty(len(part), SLIM)
-        for name in names:
-            rows[name] = part[name].fillna(0)
-        rows["game_pk"][part["game_pk"].isna()] = UNKNOWN
-        return rows
-
-    def by_time(held: list[np.ndarray]) -> np.ndarray:
-        rows = np.concatenate(held)
-        return rows[np.lexsort((rows["game_pk"], rows["day"]))]
-
-    def stored(at: int, end: int, step: int) -> Iterator[tuple]:
-        for i in range(at, end, step):
-            yield from np.frombuffer(os.pread(file.fileno(), SLIM.itemsize * (min(i + step, end) - i), SLIM.itemsize * i), SLIM).tolist()
-
-    with tempfile.TemporaryFile() as file:
-        held, count, ends = [], 0, [0]
-        for part in parts:
-            held.append(block(part))
-            count += len(part)
-            if count >= run:
-                file.write(by_time(held).data)
-                ends.append(ends[-1] + count)
-                held, count = [], 0
-        file.flush()
-        runs = [stored(at, end, max(1, run // len(ends))) for at, end in pairwise(ends)]
-        if held:
-            runs.append(iter(by_time(held).tolist()))
-        yield from heapq.merge(*runs, key=lambda r: r[:2])
-
-
-def _rate(key: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    kept = json.loads(state.get[0]) if state.exists else {"ratings": {}, "day": None, "season": None}
-    ratings = elo.Ratings(rating={int(t): r for t, r in kept["ratings"].items()}, season=kept["season"])
-    floor = day = kept["day"]
-    columns, out = ["pool", "game_pk", "home_elo", "away_elo", "accepted"], []
-    for at, game, season, home, away, result in _in_order(parts, RUN):
-        game = None if game == UNKNOWN else game
-        if floor is not None and at < floor:
-            out.append((key[0], game, None, None, False))
-        else:
-            day = at
-            x, y, _ = ratings.play(season, home, away, result)
-            out.append((key[0], game, x, y, True))
-        if len(out) == elo.BATCH:
-            yield pd.DataFrame(out, columns=columns)
+
+    def __init__(self, keep: int | None):
+        self.keep = keep
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.stretches = handle.getMapState("stretches", "stretch long", "games string, ratings string")
+        self.ends = handle.getValueState("ends", "first long, last long, revision long")
+
+    def _let_go(self, upto: int) -> int | None:
+        """Forget stretches before ``upto``, but for the newest; the first that stays."""
+        known = sorted(k[0] for k in self.stretches.keys())
+        for k in known[:-1]:
+            if k < upto:
+                self.stretches.removeKey((k,))
+        return next((k for k in known if k >= upto), known[-1] if known else None)
+
+    def handleInputRows(self, key, rows, timers):  # noqa: N802
+        first, last, revision = self.ends.get() if self.ends.exists() else (None, None, 0)
+        fresh: dict[int, list] = {}
+        for part in rows:
+            if part[[c for c in GAMES if c != "game_pk"]].isna().any(axis=None):
+                raise ValueError("a game without a date, season or team cannot be rated")
+            for stretch, games in part.groupby(part["day"] // STRETCH):
+                fresh.setdefault(int(stretch), []).append(games[GAMES])
+        late = [k for k in fresh if first is not None and k < first]
+        for k in late:
+            games = pd.concat(fresh.pop(k))
+            yield pd.DataFrame({"pool": key[0], "game_pk": games["game_pk"].astype("Int64"), "home_elo": None, "away_elo": None, "accepted": False, "revision": revision}).astype({"home_elo": "float64", "away_elo": "float64"})
+        if not fresh:
+            return
+        begin, revision = min(fresh), revision + 1
+        known = sorted({*fresh, *(k[0] for k in self.stretches.keys())})
+        earlier = [k for k in known if k < begin]
+        ratings = None
+        for stretch in ([earlier[-1]] if earlier else []) + [k for k in known if k >= begin]:
+            stored = self.stretches.getValue((stretch,)) if self.stretches.containsKey((stretch,)) else None
+            games = [pd.DataFrame(json.loads(stored[0]), columns=GAMES)] if stored else []
+            games = pd.concat([*games, *fresh.get(stretch, [])]).sort_values(["day", "game_pk"], na_position="last", kind="stable")
+            if ratings is None:  # the ratings before the stretch from which games are played again
+                kept = json.loads(stored[1]) if stored and earlier else {"ratings": {}, "season": None}
+                ratings = elo.Ratings(rating={int(t): r for t, r in kept["ratings"].items()}, season=kept["season"])
+            before = json.dumps({"ratings": {str(t): x for t, x in ratings.rating.items()}, "season": ratings.season})
             out = []
-    state.update((json.dumps({"ratings": {str(t): x for t, x in ratings.rating.items()}, "day": day, "season": ratings.season}),))
-    yield pd.DataFrame(out, columns=columns)
+            for day, game, season, home, away, result in games.itertuples(index=False):
+                x, y, _ = ratings.play(int(season), int(home), int(away), float(result))
+                out.append((key[0], game, x, y, True, revision))
+                last = max(int(day), last) if last is not None else int(day)
+            self.stretches.updateValue((stretch,), (games.to_json(orient="values"), before))
+            if stretch >= begin:
+                yield pd.DataFrame(out, columns=["pool", "game_pk", "home_elo", "away_elo", "accepted", "revision"]).astype({"game_pk": "Int64"})
+        if self.keep is not None:
+            first = self._let_go((last - self.keep) // STRETCH)
+            for t in self.handle.listTimers():
+                self.handle.deleteTimer(t)
+            self.handle.registerTimer((last + self.keep + 1) * 86_400_000)
+        self.ends.update((first, last, revision))
+
+    def handleExpiredTimer(self, key, timers, expired):  # noqa: N802
+        first, last, revision = self.ends.get()
+        self.ends.update((self._let_go(last // STRETCH), last, revision))
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def live_ratings(stream: DataFrame, pool: str | None = None, keep: int | None = None) -> DataFrame:
+    """Pre-game ratings with keyed state: (pool, game_pk, home_elo, away_elo, accepted, revision).
+
+    A late game is put in its place and all games after it come out again under a higher revision, so the highest revision of a game is
+    the one of a replay in batch (``last_revisions``). With ``keep`` the state is bounded by so many days; games dated before come out with
+    ``accepted`` false and null ratings.
+    """
+    spark = stream.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    rows = elo.results(stream, pool)
+    mode = "None"
+    if keep is not None:
+        rows = rows.withColumn("at", F.timestamp_seconds(F.col("day").cast("long") * 86_400)).withWatermark("at", "0 seconds")
+        mode = "EventTime"
+    return rows.groupBy("pool").transformWithStateInPandas(LateRatings(keep), RATED, "append", mode)
+
+
+def last_revisions(rated: DataFrame) -> DataFrame:
+    """Of each game of a pool the row of its highest revision."""
+    return latest_per_key(rated, ["pool", "game_pk"], [F.desc("revision"), F.asc("home_elo")])
 
 
 def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
@@ -147,12 +170,15 @@ def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
 
 
 def drain_upsert(stream: DataFrame, keys: list[str], by: str, path: str | None = None) -> DataFrame:
-    """Changed rows of each trigger replace those of their keys; a trigger that runs twice changes nothing."""
+    """Changed rows of each trigger replace those of their keys in a versioned table, a new one or one that is there; a trigger that runs twice changes nothing."""
     spark, home = stream.sparkSession, sinks.shared_folder(stream.sparkSession, "stream")
     path = path or f"{home}/table"
 
-    def apply(batch: DataFrame, number: int) -> None:
-        sinks.overwrite_partitions(batch, path, by) if number == 0 else sinks.upsert(batch, path, keys, by)
+    def apply(batch: DataFrame, _: int) -> None:
+        if versions.exists(batch.sparkSession, path):
+            versions.upsert(batch, path, keys)
+        else:
+            versions.create(batch, path, by, keys)
 
     stream.writeStream.outputMode("update").option("checkpointLocation", f"{home}/state").trigger(availableNow=True).foreachBatch(apply).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
+    return versions.read(spark, path)

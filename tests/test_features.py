@@ -5,8 +5,6 @@ import json
 import os
 
 import duckdb
-import numpy as np
-import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -58,15 +56,16 @@ def test_state_of_ratings_is_the_replay(spark):
     assert elo.ratings_after(g.limit(0), first).count() == 5
 
 
-def test_live_ratings_are_the_replay_and_refuse_late_games(spark, tmp_path):
+def test_live_ratings_are_the_replay_with_late_games_in_place(spark, tmp_path):
     rows = [(i, day(i // 3), 2023 + i // 40, i % 5, (i + 1 + i % 4) % 5, i * 7 % 11, i * 5 % 11) for i in range(60)]
-    path = str(tmp_path / "games")
-    for part in (rows[:30], rows[30:], [(99, day(1), 2023, 1, 2, 3, 4)]):
+    path, late = str(tmp_path / "games"), [(99, day(1), 2023, 1, 2, 3, 4)]
+    for part in (rows[:30], rows[30:], late):
         spark.createDataFrame(part, GAMES).coalesce(1).write.mode("append").parquet(path)
-    found = live.drain(live.live_ratings(live.source(spark, path, files_per_trigger=1))).collect()
+    found = live.drain(live.live_ratings(live.source(spark, path, files_per_trigger=1)))
     flat = lambda rated: {(r.game_pk, c): r[c] for r in rated for c in ("home_elo", "away_elo")}
-    assert flat(r for r in found if r.accepted) == pytest.approx(flat(elo.replay(spark.createDataFrame(rows, GAMES)).collect()))
-    assert [r.game_pk for r in found if not r.accepted] == [99]
+    flatly = lambda games: flat(elo.replay(spark.createDataFrame(games, GAMES)).collect())
+    assert flat(live.last_revisions(found).collect()) == pytest.approx(flatly(rows + late))
+    assert flat(live.last_revisions(found.where("revision <= 2")).collect()) == pytest.approx(flatly(rows))
 
 
 def test_lineup_projection(spark):
@@ -181,11 +180,3 @@ def test_replay_holds_no_whole_pool(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     for frame in (replayed, after):
         assert "GroupsInPandas" not in frame._jdf.queryExecution().executedPlan().toString()
-
-
-def test_trigger_is_sorted_in_runs():
-    rng = np.random.default_rng(0)
-    frame = pd.DataFrame({c: rng.integers(0, 40, 1000) for c in live.SLIM.names}).assign(game_pk=rng.permutation(1000))
-    found = list(live._in_order((frame[i : i + 30] for i in range(0, 1000, 30)), 64))
-    assert found == list(frame.sort_values(["day", "game_pk"]).itertuples(index=False, name=None))
-    assert list(live._in_order(iter([]), 64)) == []
