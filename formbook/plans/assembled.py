@@ -277,26 +277,41 @@ def m6_arsenal_and_venue(spark, d):
     return wide.join(venue, ["game_date", "game_pk"], "left").select("game_date", "game_pk", "home_starter", "away_starter", r6(c("adv"), "arsenal_advantage"), r6(c("venue_woba"), "venue_woba"))
 
 
+#: Runs at a venue against those of all, over the seasons before; null under a hundred games.
+PARK = """ps AS (SELECT venue_id, season, sum(home_score + away_score) AS runs, count(*) AS n FROM g GROUP BY 1, 2), os AS (SELECT season, sum(runs) AS runs, sum(n) AS n FROM ps GROUP BY 1),
+ pb AS (SELECT venue_id, season, sum(runs) OVER w AS runs, sum(n) OVER w AS n FROM ps WINDOW w AS (PARTITION BY venue_id ORDER BY season ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), ob AS (SELECT season, sum(runs) OVER w AS runs, sum(n) OVER w AS n FROM os WINDOW w AS (ORDER BY season ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+ park AS (SELECT venue_id, season, CASE WHEN pb.n >= 100 THEN (pb.runs / pb.n::DOUBLE) / (ob.runs / ob.n::DOUBLE) END AS ratio FROM pb JOIN ob USING (season))"""
+
+
+def park_before(g: DataFrame, least: int = 100) -> DataFrame:
+    """(venue_id, season, ratio): runs at a venue against those of all, over earlier seasons; null under ``least`` games."""
+    at = g.groupBy("venue_id", "season").agg(F.sum(F.col("home_score") + F.col("away_score")).alias("runs"), F.count(F.lit(1)).alias("n"))
+    all_before = win.before(W.orderBy("season"))  # one row for each season
+    overall = at.groupBy("season").agg(F.sum("runs").alias("r"), F.sum("n").alias("k")).select("season", (F.sum("r").over(all_before) / F.sum("k").over(all_before)).alias("mean"))
+    own = win.before(W.partitionBy("venue_id").orderBy("season"))
+    seen = at.select("venue_id", "season", F.sum("runs").over(own).alias("runs"), F.sum("n").over(own).alias("n"))
+    return seen.join(overall, "season").select("venue_id", "season", F.when(F.col("n") >= least, F.col("runs") / F.col("n") / F.col("mean")).alias("ratio"))
+
+
 @register(
-    f"""WITH {WIDE}, {E}, s AS (SELECT team_id, season, avg(runs) AS v FROM t GROUP BY 1, 2), park AS (SELECT venue_id, avg(home_score + away_score) / (SELECT avg(home_score + away_score) FROM g) AS ratio, count(*) AS n FROM g GROUP BY 1),
+    f"""WITH {WIDE}, {E}, s AS (SELECT team_id, season, avg(runs) AS v FROM t GROUP BY 1, 2), cur AS (SELECT game_pk, team_id, avg(runs) OVER {BEFORE_SEASON} AS v FROM t), {PARK},
  trip AS (SELECT game_pk, team_id, (row_number() OVER ({ALL_T}) - 1 - coalesce(max(CASE WHEN is_home THEN rn END) OVER ({ALL_T} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS road FROM (SELECT *, row_number() OVER ({ALL_T}) AS rn FROM t)),
  x AS (SELECT w.*, g.season, g.venue_id, 1 - least(hp / 162.0, 1.0) AS hk, 1 - least(ap / 162.0, 1.0) AS ak FROM w JOIN g USING (game_pk))
- SELECT x.game_pk, round(coalesce(hk * h1.v + (1 - hk) * h0.v, h0.v, h1.v), 6)::DOUBLE AS home_quality, round(coalesce(ak * a1.v + (1 - ak) * a0.v, a0.v, a1.v), 6)::DOUBLE AS away_quality, round(CASE WHEN park.n >= 100 THEN ratio ELSE 1.0 END, 6) AS home_park_factor, (CASE WHEN park.n >= 100 THEN ratio ELSE 1.0 END > 1.05)::INT AS is_hitter_park, (CASE WHEN park.n >= 100 THEN ratio ELSE 1.0 END < 0.95)::INT AS is_pitcher_park,
+ SELECT x.game_pk, round(coalesce(hk * h1.v + (1 - hk) * h0.v, h0.v, h1.v), 6)::DOUBLE AS home_quality, round(coalesce(ak * a1.v + (1 - ak) * a0.v, a0.v, a1.v), 6)::DOUBLE AS away_quality, round(coalesce(ratio, 1.0), 6) AS home_park_factor, (coalesce(ratio, 1.0) > 1.05)::INT AS is_hitter_park, (coalesce(ratio, 1.0) < 0.95)::INT AS is_pitcher_park,
  round(hw10 - aw10, 6) + 0.0::DOUBLE AS form_differential, hrest::BIGINT AS home_days_rest, arest::BIGINT AS away_days_rest, (hrest >= 2)::INT AS home_rested, (arest <= 1)::INT AS away_tired, road::BIGINT AS away_road_trip_length, (road >= 5)::INT AS long_road_trip, month(x.game_date)::INT AS month, (isodow(x.game_date) >= 5)::INT AS is_weekend, round((hp + ap) / 2.0 / 162.0, 6)::DOUBLE AS season_pct_complete, ((hp + ap) / 2.0 / 162.0 >= 0.75)::INT AS is_late_season, ((hp + ap) / 2.0 / 162.0 <= 0.20)::INT AS is_early_season
- FROM x LEFT JOIN s h1 ON h1.team_id = home AND h1.season = x.season - 1 LEFT JOIN s h0 ON h0.team_id = home AND h0.season = x.season LEFT JOIN s a1 ON a1.team_id = away AND a1.season = x.season - 1 LEFT JOIN s a0 ON a0.team_id = away AND a0.season = x.season LEFT JOIN park ON park.venue_id = x.venue_id LEFT JOIN trip ON trip.game_pk = x.game_pk AND trip.team_id = away"""
+ FROM x LEFT JOIN s h1 ON h1.team_id = home AND h1.season = x.season - 1 LEFT JOIN cur h0 ON h0.team_id = home AND h0.game_pk = x.game_pk LEFT JOIN s a1 ON a1.team_id = away AND a1.season = x.season - 1 LEFT JOIN cur a0 ON a0.team_id = away AND a0.game_pk = x.game_pk LEFT JOIN park ON park.venue_id = x.venue_id AND park.season = x.season LEFT JOIN trip ON trip.game_pk = x.game_pk AND trip.team_id = away"""
 )
 def m9_m10_full_table(spark, d):
-    """Form, blended quality, park, rest, travel and season context of every game; lookups are left joins, so every game stays."""
-    c, g = F.col, games(spark, d).withColumn("total", F.col("home_score") + F.col("away_score"))
-    s = team_rows(spark, d).groupBy("team_id", "season").agg(F.avg("runs").alias("v"))
-    overall = g.agg(F.avg("total").alias("overall"))  # one row
-    park = g.groupBy("venue_id").agg(F.avg("total").alias("m"), F.count(F.lit(1)).alias("n")).join(F.broadcast(overall)).select("venue_id", F.when(c("n") >= 100, c("m") / c("overall")).alias("ratio"))
-    trips = win.run_before(team_rows(spark, d).withColumn("away", (~c("is_home")).cast("int")), "away", ["team_id"], ["game_date", "game_pk"], "road").where("away = 1").select("game_pk", c("road").cast("long").alias("road"))
-    x = both_sides(spark, d).join(g.select("game_pk", "venue_id"), "game_pk").join(park, "venue_id", "left").join(trips, "game_pk", "left").withColumn("ratio", F.coalesce("ratio", F.lit(1.0)))
+    """Form, blended quality, park, rest, travel and season context of every game, of earlier games alone; lookups are left joins, so every game stays."""
+    c, g, rows = F.col, games(spark, d), team_rows(spark, d)
+    cur = rows.select("game_pk", "team_id", F.avg("runs").over(win.before(season_order())).alias("v"))
+    s = rows.groupBy("team_id", (c("season") + 1).alias("season")).agg(F.avg("runs").alias("v"))
+    trips = win.run_before(rows.withColumn("away", (~c("is_home")).cast("int")), "away", ["team_id"], ["game_date", "game_pk"], "road").where("away = 1").select("game_pk", c("road").cast("long").alias("road"))
+    x = both_sides(spark, d).join(g.select("game_pk", "venue_id"), "game_pk").join(park_before(g), ["venue_id", "season"], "left").join(trips, "game_pk", "left").withColumn("ratio", F.coalesce("ratio", F.lit(1.0)))
     for side in ("home", "away"):
-        this = s.select(c("team_id").alias(f"{side}_team"), "season", c("v").alias(f"{side}_cur"))
-        last = s.select(c("team_id").alias(f"{side}_team"), (c("season") + 1).alias("season"), c("v").alias(f"{side}_prior"))
-        x = x.join(this, [f"{side}_team", "season"], "left").join(last, [f"{side}_team", "season"], "left")
+        this = cur.select("game_pk", c("team_id").alias(f"{side}_team"), c("v").alias(f"{side}_cur"))
+        last = s.select(c("team_id").alias(f"{side}_team"), "season", c("v").alias(f"{side}_prior"))
+        x = x.join(this, ["game_pk", f"{side}_team"], "left").join(last, [f"{side}_team", "season"], "left")
     done = (c("home_played") + c("away_played")) / 2.0 / 162.0
     blend = lambda side: r6(X.season_blend(c(f"{side}_prior"), c(f"{side}_cur"), c(f"{side}_played")), f"{side}_quality")
     flag = lambda cond, name: cond.cast("int").alias(name)

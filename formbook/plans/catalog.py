@@ -43,16 +43,20 @@ def r6(c, name: str):
     return F.round(c, 6).alias(name)
 
 
-def register(sql: str | None = None):
+def register(sql: str | Callable[[], str] | None = None):
     def add(f: Query) -> Query:
         _QUERIES[f.__name__] = f
         if sql:
-            _SQL[f.__name__] = sql
+            _SQL[f.__name__] = sql() if callable(sql) else sql
         return f
 
     return add
 
 
+def oracle_of(name: str) -> str:
+    return _SQL[name]
+
+
 def team_rows(spark: SparkSession, d: str) -> DataFrame:
     return reshape.to_team_grain(games(spark, d))
 
@@ -509,7 +513,7 @@ def z2_elo_grid(spark, d):
 
 
 def _register_all() -> None:
-    from formbook.plans import assembled, features, learned, live, reports, upkeep  # noqa: F401  they register themselves with this module
+    from formbook.plans import assembled, features, learned, live, reports, rows, upkeep  # noqa: F401  they register themselves with this module
 
 
 def queries() -> dict[str, Query]:

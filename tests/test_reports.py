@@ -150,3 +150,50 @@ def test_medians_with_nan_and_infinities(spark):
         assert got == want or want is not None and math.isnan(want) and got is None, (values, got, want)
     many = [random.Random(3).gauss(0, 1) for _ in range(20_001)]
     assert upkeep.medians(spark.createDataFrame([(v,) for v in many] + [(nan,), (None,)], "x double"), ["x"])["x"] == statistics.median(many)
+
+
+@pytest.mark.parametrize("name", ["m9_m10_full_table", "m10_rated_row", "m3_rating_features", "m2_n6_n7_season_table"])
+def test_game_tables_read_earlier_games_alone(spark, tmp_path, name):
+    from formbook.plans import catalog
+
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    later = F.col("o_orderdate") >= "1996-06-01"
+    orders.withColumn("o_totalprice", F.when(later, F.col("o_totalprice") * 3 + 7).otherwise(F.col("o_totalprice"))).write.parquet(f"{tmp_path}/orders.parquet")
+    for t in ("part", "nation", "customer", "supplier"):
+        spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    early = orders.where(~later).select(F.col("o_orderkey").alias("game_pk"))
+    both = [sorted(map(str, catalog.queries()[name](spark, d).join(early, "game_pk", "left_semi").collect())) for d in (SF, str(tmp_path))]
+    assert both[0] == both[1], [x for x in zip(*both, strict=True) if x[0] != x[1]][:2]
+    assert len(both[0]) > 100
+
+
+def test_series_and_starters(spark):
+    from formbook.plans import rows
+
+    day = lambda d: f"2024-04-{d:02d}"
+    g = spark.createDataFrame([(1, day(1), 1, 2, 5, 3), (2, day(2), 1, 2, 1, 3), (3, day(3), 1, 2, 4, 0), (4, day(20), 1, 2, 1, 0), (5, day(4), 2, 1, 1, 0)], "game_pk long, d string, home_team_id long, away_team_id long, home_score int, away_score int")
+    g = g.withColumns({"game_date": F.to_date("d"), "season": F.lit(2024)})
+    assert {r.game_pk: (r.series_game, r.series_home_wins) for r in rows.series(g).collect()} == {1: (1, 0), 2: (2, 1), 3: (3, 1), 4: (1, 0), 5: (1, 0)}
+    known = spark.createDataFrame([(10, 80.0, 60.0), (11, None, 20.0)], "pitcher long, xera double, k_pct double")
+    pairs = spark.createDataFrame([(1, 10, 11), (2, 10, 99), (3, None, None)], "game_pk long, home_starter long, away_starter long")
+    got = {r.game_pk: r for r in rows.starter_quality(pairs, known).collect()}
+    assert got[1].sp_quality_composite_diff == pytest.approx(0.35 * 30 + 0.25 * 40) and got[1].sp_both_known == 1
+    assert got[2].sp_quality_composite_diff == pytest.approx(0.35 * 30 + 0.25 * 10) and (got[2].home_sp_known, got[2].away_sp_known) == (1, 0)
+    assert got[3].sp_quality_composite_diff == 0.0
+
+
+def test_pitcher_scores_against_plain_sums(spark):
+    """M29: posterior and arm rate by hand; the score lies between the ends of the scaled values."""
+    from formbook.plans import catalog
+    from formbook.sources.tables import pitches
+
+    outs = {}
+    for r in pitches(spark, SF).select("pitcher", "events").collect():
+        n, k = outs.get(r.pitcher, (0, 0))
+        outs[r.pitcher] = (n + 1, k + (r.events in ("strikeout", "field_out")))
+    got = {r.pitcher: r for r in catalog.queries()["m29_pitcher_scores"](spark, SF).collect()}
+    assert set(got) <= set(outs) and len(got) > 10
+    order = sorted(got, key=lambda p: got[p].posterior)
+    rates = [outs[p][1] / outs[p][0] for p in order]
+    assert all(0 <= r.score <= 100 for r in got.values()) and statistics.correlation(range(len(order)), rates) > 0.8
+    assert abs(sum(r.residual * outs[p][0] for p, r in got.items()) / sum(outs[p][0] for p in got)) < 0.5
