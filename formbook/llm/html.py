@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,11 +32,9 @@ from pyspark.sql import functions as F
 
 from formbook.llm.common import ship
 
-_RAW = "script|style|noscript|template|svg|math|iframe|object|textarea|select|title"
-_TOKEN = re.compile(
-    rf"""<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
-    re.S | re.I,
-)
+#: Elements whose content is no text of the page. What ``math`` holds is text, but for its annotations.
+_RAW = frozenset("script style noscript template svg iframe object textarea select title annotation annotation-xml".split())
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption header footer nav aside form fieldset address details summary hr center".split())
@@ -49,14 +48,14 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _CUT_TAGS = frozenset("nav footer aside form button fieldset dialog menu".split())
 _CUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar".split())
 #: Words of class and id that name such parts (reader comments first), and words that only hint at them.
-_COMMENT_WORDS = frozenset("comment comments commentlist commenter commentary disqus replies".split())
+_COMMENT_WORDS = frozenset("comment comments commentlist commenter commentary disqus replies responses talkback guestbook".split())
 _TELLING = _COMMENT_WORDS | frozenset(
     "nav navbar navigation menu menus sidebar sidebars footer masthead breadcrumb breadcrumbs pagination pager paging cookie cookies consent gdpr newsletter subscribe subscription signup "
     "ad ads adv advert adverts advertisement advertisements advertising adsense adslot sponsor sponsored sponsors popup modal overlay outbrain taboola toolbar skip skiplink".split()
 )
-_DOUBTFUL = frozenset("aside header share sharing social related recommended recommendations more register reply respond discussion search alert notice notices feedback login form widget widgets banner promo promos promotion".split())
+_DOUBTFUL = frozenset("aside header share sharing social related recommended recommendations register reply respond letters search alert notice notices feedback login form widget widgets banner promo promos promotion".split())
 #: Nouns that say nothing of what is inside, so that the word before them names the part; words that only say that a part is there.
-_PLAIN_NOUNS = frozenset("section sections list box container wrapper wrap area block blocks item items link links button buttons bar left right top bottom main slot unit inner outer group panel body content text thread row column col icons zone region holder".split())
+_PLAIN_NOUNS = frozenset("section sections list box container wrapper wrap area block blocks item items link links button buttons bar left right top bottom main slot unit inner outer group panel body content text thread row column col icons zone region holder posts articles stories news topics".split())
 _ABOUT = frozenset("has with no without show hide is layout page template".split())
 #: Words that mark an article, and those that mark the head of a comment.
 _ARTICLE_WORDS = frozenset("article post entry story section chapter content".split())
@@ -67,48 +66,128 @@ EARNED = 5.0
 
 
 class Node:
-    __slots__ = ("attrs", "children", "link_n", "names", "own", "parent", "points", "tag", "text_n")
+    __slots__ = ("articles", "attrs", "author", "children", "commas", "date", "heads", "inner_n", "link_n", "links", "names", "own", "parent", "points", "scope", "tag", "text_n")
 
     def __init__(self, tag: str, parent: Node | None, attrs: str = ""):
         self.tag, self.parent, self.attrs = tag, parent, attrs
+        #: The article or main that the node is in.
+        self.scope: Node | None = None if parent is None else parent if parent.tag in ("article", "main") else parent.scope
         self.children: list = []
         self.points, self.own, self.text_n, self.link_n = 0.0, 0.0, 0, 0
         self.names: list[list[str]] = []
 
 
+class Scanner:
+    """Tags of a page from left to right, in time linear in its length: what one look finds (the next sign of a kind, or that there is none) serves the next looks too."""
+
+    def __init__(self, source: str):
+        self.source, self.seen, self.quotes = source, {}, True
+
+    def find(self, what: str, at: int) -> int:
+        """The first place of ``what`` from ``at`` on, or the page's length; ``at`` only grows for each ``what``."""
+        if self.seen.get(what, -1) < at:
+            found = self.source.find(what, at)
+            self.seen[what] = len(self.source) if found < 0 else found
+        return self.seen[what]
+
+    def tag_end(self, at: int) -> int:
+        """The > that ends a tag, not one inside quotes. From the first tag on whose quotes leave it without one, quotes are plain signs."""
+        if self.quotes and self.find(">", at) < len(self.source):
+            here = at
+            while (end := self.find(">", here)) < len(self.source):
+                quote = min(self.find('"', here), self.find("'", here))
+                if end <= quote:
+                    return end
+                here = self.source.find(self.source[quote], quote + 1) + 1
+                if not here:
+                    break
+            self.quotes = False
+            self.seen.clear()
+        return self.find(">", at)
+
+    def tags(self) -> Iterator[tuple[int, int, str | None, bool, str]]:
+        """(start, end, name, closing, attributes); name is None for what is dropped: comments, declarations, scripts and the like."""
+        source, at, n = self.source, 0, len(self.source)
+        while (start := self.find("<", at)) < n:
+            at = start + 1
+            if source.startswith("<!--", start):
+                end = min(self.find("-->", start + 4) + 3, n)
+                yield start, end, None, False, ""
+            elif source.startswith(("<!", "<?"), start):
+                if (end := self.find(">", at) + 1) > n:
+                    return  # no tag ends any more
+                yield start, end, None, False, ""
+            elif m := _NAME.match(source, start):
+                name = m[2].lower()
+                end = self.tag_end(m.end()) if name not in _RAW else self.find(">", m.end())
+                if end >= n:
+                    return  # no tag ends any more
+                attrs = source[m.end() : end]
+                end += 1
+                if name in _RAW and not m[1]:
+                    if not attrs.endswith("/"):
+                        closes = re.compile(rf"</{name}\s*>", re.I).search(source, end)
+                        end = closes.end() if closes else n
+                    yield start, end, None, False, ""
+                else:
+                    yield start, end, name, bool(m[1]), attrs
+            else:
+                continue
+            at = end
+
+
 def parse(source: str) -> Node:
     root = Node("html", None)
     at, here = 0, root
-    for m in _TOKEN.finditer(source):
-        if m.start() > at:
-            here.children.append(source[at : m.start()])
-        at = m.end()
-        tag = m[3] or m[6]
+    #: Open elements, and of each scope among them how many of each tag are open in it.
+    path, inside, overall = [root], [Counter()], Counter()
+
+    def shut(upto: int) -> Node:
+        """Close the open elements from place ``upto`` of the path on."""
+        while len(path) > upto:
+            node = path.pop()
+            overall[node.tag] -= 1
+            if node.tag in _SCOPE:
+                inside.pop()
+            inside[-1][node.tag] -= 1
+        return path[-1]
+
+    for start, end, tag, closing, attrs in Scanner(source).tags():
+        if start > at:
+            here.children.append(source[at:start])
+        at = end
         if tag is None:
             continue
-        tag = tag.lower()
-        if m[2] or m[5]:
-            node = here
-            while node is not None and node.tag != tag:
-                node = None if node.tag in _SCOPE and tag not in _SCOPE else node.parent
-            if node is not None and node.parent is not None:
-                here = node.parent
+        if closing:
+            # An element is closed from inside its scope alone; scopes are closed from anywhere in them.
+            if (overall if tag in _SCOPE else inside[-1])[tag] > 0:
+                place = len(path) - 1
+                while path[place].tag != tag:
+                    place -= 1
+                if place:
+                    here = shut(place)
             continue
         if closes := _CLOSES.get(tag):
-            node = here
-            while node.parent is not None:
+            place = len(path) - 1
+            while place and any(inside[-1][t] > 0 for t in closes):
+                node = path[place]
                 if node.tag in closes:
-                    here = node.parent
-                elif node.tag in _SCOPE and node.tag not in closes:
+                    here = shut(place)
+                elif node.tag in _SCOPE:
                     break
-                node = node.parent
+                place -= 1
         if tag in ("html", "body") and here is root:
             root.tag = tag  # one root for both
             continue
-        node = Node(tag, here, m[4] or m[7] or "")
+        node = Node(tag, here, attrs)
         here.children.append(node)
-        if tag not in _VOID and not node.attrs.endswith("/"):
+        if tag not in _VOID and not attrs.endswith("/"):
             here = node
+            path.append(node)
+            overall[tag] += 1
+            inside[-1][tag] += 1
+            if tag in _SCOPE:
+                inside.append(Counter({tag: 1}))  # itself too: a cell is closed by the next one
     if at < len(source):
         here.children.append(source[at:])
     return root
@@ -116,10 +195,7 @@ def parse(source: str) -> Node:
 
 def around(node: Node) -> Node | None:
     """The article or main that a node is in."""
-    up = node.parent
-    while up is not None and up.tag not in ("article", "main"):
-        up = up.parent
-    return up
+    return node.scope
 
 
 def unwanted(node: Node) -> bool:
@@ -155,26 +231,13 @@ def naming(node: Node) -> frozenset:
 
 def commented(node: Node) -> bool:
     """Built like reader comments: two children or more that each have an author and a date."""
-    heads = 0
-    for child in node.children:
-        if isinstance(child, str):
-            continue
-        author = date = False
-        stack = [child]
-        while stack:
-            x = stack.pop()
-            words = {w for n in x.names for w in n}
-            author |= bool(words & _AUTHOR_WORDS)
-            date |= x.tag == "time" or bool(words & _DATE_WORDS)
-            stack.extend(c for c in x.children if not isinstance(c, str))
-        heads += author and date
-    return heads >= 2
-
-
-def named_away(node: Node, total: float, articles: list[Node], authors: bool) -> bool:
+    return node.heads >= 2
+
+
+def named_away(node: Node, total: float, articles: bool, authors: bool) -> bool:
     """Whether the name or the build of a scored block, weighed with its points, cuts it off.
 
-    ``total``: the points of the page's paragraphs; ``articles``: its article and main elements with text; ``authors``: whether any name is one of an author.
+    ``total``: the points of the page's paragraphs; ``articles``: whether it has article or main elements with text; ``authors``: whether any name is one of an author.
     """
     if not node.names and not authors or node.tag in ("body", "html", "main") or node.tag not in _BLOCK and node.tag not in ("span", "a", "ins"):
         return False
@@ -184,27 +247,55 @@ def named_away(node: Node, total: float, articles: list[Node], authors: bool) ->
     words = naming(node)
     if not words & (_TELLING | _DOUBTFUL):
         return False
-    if any(holds(node, x) for x in articles if x is not node):
+    if node.articles:
         return False
     if words & _COMMENT_WORDS and (articles or node.own < total):
         return True
     if words & _TELLING:
-        return bool(articles) or not (most and node.own >= 3 * EARNED)
+        return articles or not (most and node.own >= 3 * EARNED)
+    if own_part(node):
+        return False
     if "header" in words and (around(node) is not None or any(w in _ARTICLE_WORDS for n in node.names for w in n)):
         return False
-    return (bool(articles) or not most) and node.own * (1 - node.link_n / max(node.text_n, 1)) < EARNED
+    return (articles or not most) and node.own * (1 - node.link_n / max(node.text_n, 1)) < EARNED
 
 
-def in_comments(node: Node | None) -> bool:
-    while node is not None and not naming(node) & _COMMENT_WORDS:
-        node = node.parent
-    return node is not None
+def own_part(node: Node) -> bool:
+    """A section of an article with a heading and a sentence of its own, whatever it is called."""
+    if node.tag != "section" or node.scope is None or 4 * node.link_n > node.text_n:
+        return False
+    parts = [c for c in node.children if not isinstance(c, str)]
+    return any(c.tag in _HEADINGS for c in parts) and any(c.tag == "p" and c.text_n for c in parts)
 
 
-def holds(node: Node, inner: Node) -> bool:
-    while inner is not None and inner is not node:
-        inner = inner.parent
-    return inner is node
+def summed(order: list[Node]) -> None:
+    """For every node, from its descendants up: lengths of text and of links, commas, links, heads of comments, articles with text (but for those in comments)."""
+    talk: set[int] = set()  # nodes that are comments, or in them
+    for node in order:
+        node.text_n = node.link_n = node.inner_n = node.commas = node.links = node.heads = 0
+        words = {w for n in node.names for w in n}
+        node.author, node.date, node.articles = bool(words & _AUTHOR_WORDS), node.tag == "time" or bool(words & _DATE_WORDS), False
+        if node.parent is not None and id(node.parent) in talk or node.names and naming(node) & _COMMENT_WORDS:
+            talk.add(id(node))
+    for node in reversed(order):
+        for c in node.children:
+            if isinstance(c, str):
+                node.text_n += len(c.strip())
+                node.inner_n += len(" ".join(c.split()))
+                node.commas += sum(map(c.count, ",،、，"))
+        if node.tag == "a":
+            node.link_n = node.text_n
+            node.links += 1
+        if (up := node.parent) is not None:
+            up.text_n += node.text_n
+            up.link_n += node.link_n
+            up.inner_n += node.inner_n
+            up.commas += node.commas
+            up.links += node.links
+            up.heads += node.author and node.date
+            up.author |= node.author
+            up.date |= node.date
+            up.articles |= node.articles or node.tag in ("article", "main") and node.text_n > 0 and id(node) not in talk
 
 
 def prune(root: Node) -> list[Node]:
@@ -241,31 +332,31 @@ def blocks_of(nodes: list) -> list[str]:
     return [t for b in found if (t := " ".join(entities.unescape(b).split()))]
 
 
+#: Levels above a paragraph that it gives points to.
+LEVELS = 10
+
+
 def score(order: list[Node]) -> list[Node]:
     """Give every container its points, and in ``own`` those of all paragraphs inside; containers that got any."""
+    summed(order)
     for node in order:
-        node.points, node.own, node.text_n, node.link_n = 0.0, 0.0, 0, 0
-    for node in reversed(order):
-        node.text_n += sum(len(c.strip()) for c in node.children if isinstance(c, str))
-        if node.tag == "a":
-            node.link_n = node.text_n
-        if node.parent is not None:
-            node.parent.text_n += node.text_n
-            node.parent.link_n += node.link_n
+        node.points, node.own = 0.0, 0.0
     scored = {}
     for node in order:
         leaf = node.tag in ("p", "pre", "td", "blockquote", "dd", "li") or node.tag in _BLOCK and any(isinstance(c, str) and c.strip() for c in node.children)
         if not leaf or node.text_n < 25 or node.parent is None:
             continue
-        inside = "".join(blocks_of(node.children)) if node.tag != "td" else "".join(c for c in node.children if isinstance(c, str))
-        points = (1 + len(re.findall("[,،、，]", inside)) + min(len(inside) / 100, 3.0)) * (1 - node.link_n / max(node.text_n, 1))
-        up, level = node.parent if node.tag != "div" or any(not isinstance(c, str) and c.tag == "p" for c in node.children) else node, 0
+        length, commas = (node.inner_n, node.commas) if node.tag != "td" else (sum(len(" ".join(c.split())) for c in node.children if isinstance(c, str)), sum(c.count(x) for c in node.children if isinstance(c, str) for x in ",،、，"))
+        points = (1 + commas + min(length / 100, 3.0)) * (1 - node.link_n / max(node.text_n, 1))
         node.own += points
-        while up is not None:
+        up, level = node.parent if node.tag != "div" or any(not isinstance(c, str) and c.tag == "p" for c in node.children) else node, 0
+        while up is not None and level < LEVELS:
             up.points += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
-            up.own += points if up is not node else 0.0
             scored[id(up)] = up
             up, level = up.parent, level + 1
+    for node in reversed(order):
+        if node.parent is not None:
+            node.parent.own += node.own
     for node in scored.values():
         node.points *= (1 - node.link_n / max(node.text_n, 1)) * (1.25 if any(n[-1] in _ARTICLE_WORDS for n in node.names) or node.tag in ("article", "main") else 1.0)
     return list(scored.values())
@@ -273,14 +364,7 @@ def score(order: list[Node]) -> list[Node]:
 
 def link_list(node: Node) -> bool:
     """A block that is mostly links, and several of them."""
-    if node.tag not in ("ul", "ol", "div", "table", "section", "dl") or node.link_n <= 0.7 * node.text_n:
-        return False
-    links, stack = 0, [node]
-    while stack:
-        x = stack.pop()
-        links += x.tag == "a"
-        stack.extend(c for c in x.children if not isinstance(c, str))
-    return links >= 3
+    return node.tag in ("ul", "ol", "div", "table", "section", "dl") and node.link_n > 0.7 * node.text_n and node.links >= 3
 
 
 def reads(node: Node, best: Node, before: bool) -> bool:
@@ -302,7 +386,7 @@ def extract(source: str | None) -> str:
     root = parse(source)
     order = prune(root)
     scored = score(order)
-    total, articles = root.own, [x for x in order if x.tag in ("article", "main") and x.text_n and not in_comments(x)]
+    total, articles = root.own, root.articles
     authors = any(w in _AUTHOR_WORDS for x in order for n in x.names for w in n)
     stack, cut = [root], False
     while stack:
@@ -319,14 +403,19 @@ def extract(source: str | None) -> str:
         articles = [x for x in order if x.tag in ("article", "main")]
         best = max(articles, key=lambda x: x.text_n, default=root)
     # From the best container up: what stays of each level stands around what stays of the level below.
-    chosen: list = [best]
+    chosen: deque = deque([best])
     node, scope = best, best if best.tag in ("article", "main") else around(best)
+    inside = scope is not None
+
+    def stays(c, before: bool) -> bool:
+        return inside and bool(c.strip()) if isinstance(c, str) else reads(c, best, before)
+
     while node.parent is not None and node is not scope:
         siblings, place = node.parent.children, next(i for i, c in enumerate(node.parent.children) if c is node)
-        inside = scope is not None
-        stays = lambda c, i: bool(c.strip()) if isinstance(c, str) else reads(c, best, i < place)  # noqa: B023, E731
-        chosen = [*[c for i, c in enumerate(siblings[:place]) if (inside or not isinstance(c, str)) and stays(c, i)], *chosen, *[c for i, c in enumerate(siblings[place + 1 :], place + 1) if (inside or not isinstance(c, str)) and stays(c, i)]]
+        chosen.extendleft(c for c in reversed(siblings[:place]) if stays(c, True))
+        chosen.extend(c for c in siblings[place + 1 :] if stays(c, False))
         node = node.parent
+    chosen = list(chosen)
     stack = [c for c in chosen if not isinstance(c, str)]
     while stack:
         node = stack.pop()

@@ -454,3 +454,30 @@ def test_media_report(spark):
     frames = media.frames(media.stored(docs(spark, rows)).where("media_id = 4")).orderBy("frame").collect()
     assert len(frames) == 5 and [f.start_ms for f in frames] == [0, 100, 200, 300, 400] and sum(sum(f.histogram) for f in frames) == 300032
     assert media.frames(spark.createDataFrame([(1, None), (2, bytearray(b"no gif"))], "media_id long, media binary")).count() == 0
+
+
+def test_html_takes_time_linear_in_bad_pages():
+    import time
+
+    pages = {
+        "nested": "<div>some text, here and now. " * 100_000, "quotes": '<a "' * 250_000, "quotes that end": '<a "' * 250_000 + '">', "inline": "<b>" * 20_000 + "<p>x y z" * 20_000,
+        "unmatched": "<div>" * 50_000 + "</article>" * 50_000, "scoped": "<b><div>" + "<i>" * 50_000 + "</b>" * 50_000, "scripts": "<script " * 100_000, "declared": "<!" * 300_000,
+        "headers": "<article>" + "<header>t. " * 50_000, "lists": "<ul><li>some text, here. " * 30_000, "comments": "<div class='comment'><span class='author'>a</span><time>d</time>" * 20_000, "links": "<div><a>link text</a>" * 30_000,
+    }
+    for name, page in pages.items():
+        began = time.time()
+        html.extract(page)
+        assert time.time() - began < 20, name
+
+
+def test_html_judges_blocks_by_build():
+    body = "<p>" + "This is a paragraph of the article, with commas, and more words. " * 6 + "</p>"
+    inside = lambda block: html.extract(f"<html><body><article><h1>T</h1>{body}{block}{body}</article></body></html>")
+    for name in ("discussion", "more", "banner", "form", "alert"):
+        assert "short real text." in inside(f"<section class='{name}'><h2>Part</h2><p>short real text.</p></section>"), name
+    talk = "<div><span class='author'>A</span><time>1</time><p>I like it.</p></div>" * 3
+    for name in ("responses", "talkback", "post-comments", "whatever"):
+        assert "I like it." not in inside(f"<div class='{name}'>{talk}</div>"), name
+    assert "Other story" not in inside("<div class='related-posts'><a href='x'>Other story</a> <a href='y'>Other story too</a></div>")
+    assert "so x=1 holds" in inside("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1 tex</annotation></math> holds</p>")
+    assert "tex" not in inside("<p>so <math><mi>x</mi><annotation>tex</annotation></math></p>")
