@@ -11,7 +11,9 @@ change its verdict nor its keeper), then what is left is added as its own run.
 Scale: a line is a 16-byte hash in everything that is shuffled before the last
 step. Keys are counted with map-side partial sums, so a line that a third of
 all documents share costs one row per task. Text is shuffled once, to meet the
-verdicts of its document; verdicts of one document are an array of its own lines.
+verdicts of its document; verdicts of one document are an array of its own lines, and a Python worker looks its lines up in
+a set of them, so a document takes time linear in its lines. A run is dealt and sorted by its key when it is written; Spark does not know
+of that order when it reads it back, so a merge of runs and the anti-join deal their slim rows again.
 
 Edge cases: a null or empty text is one empty line; a null doc_id is a document
 below all others; rows that repeat a doc_id count as documents of their own and
@@ -22,12 +24,18 @@ key, so different lines do not collide in practice at any size.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from formbook.llm.common import lower_ascii, materialize, same, scratch_path
+from formbook.llm.common import chunks, lower_ascii, materialize, same, scratch_path, ship
 
 #: Fixed value: the white space that a key loses at both ends.
 BLANK = " \t\n\x0b\x0c\r"
@@ -42,6 +50,62 @@ def hashed(key: Column, min_chars: int) -> Column:
     return F.when(F.char_length(key) >= min_chars, F.struct(F.xxhash64(key).alias("a"), F.xxhash64(F.lit(1), key).alias("b")))
 
 
+#: The bytes of A-Z in lower case: what ``lower_ascii`` does to UTF-8.
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: Seed of Spark's hash, and what it is after the number 1 that the second hash begins with.
+_SEED = 42
+
+
+def _second_seed() -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest((1).to_bytes(4, "little"), _SEED)
+
+
+def distinct_keys(keys: Column) -> Column:
+    """Distinct structs of an array by way of texts, whose comparison is by hash; arrays of structs are compared pair by pair."""
+    texts = F.array_distinct(F.transform(keys, lambda k: F.concat_ws(":", k["a"].cast("string"), k["b"].cast("string"))))
+    part = lambda x, i: F.split_part(x, F.lit(":"), F.lit(i)).cast("long")
+    return F.transform(texts, lambda x: F.struct(part(x, 1).alias("a"), part(x, 2).alias("b")))
+
+
+def _kept(min_chars: int, text_at: int, columns: int, names: list[str]):
+    """Of ``columns`` columns and the two halves of a row's lost keys: the columns with the lines that stay, lines before, lines that went."""
+
+    def stay(text: str, lost: set, second: int, blank: bytes) -> tuple[str, int]:
+        import xxhash
+
+        kept, n = [], 0
+        for line in text.split("\n"):
+            n += 1
+            if len(line.strip(BLANK)) >= min_chars:
+                key = line.encode("utf-8", "surrogatepass").strip(blank).translate(_LOWER)
+                pair = tuple(h - (1 << 64) if h >= 1 << 63 else h for h in (xxhash.xxh64_intdigest(key, _SEED), xxhash.xxh64_intdigest(key, second)))
+                if pair in lost:
+                    continue
+            kept.append(line)
+        return "\n".join(kept), n - len(kept)
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        second, blank = _second_seed(), BLANK.encode()
+        for whole in batches:
+            for batch in chunks(whole, text_at, 64_000_000):
+                text, a, b = batch.column(text_at), batch.column(columns), batch.column(columns + 1)
+                judged = a.is_valid()
+                rows = np.flatnonzero(judged.to_numpy(zero_copy_only=False))
+                gone, new = np.zeros(batch.num_rows, np.int64), []
+                for i in rows.tolist():
+                    shorter, gone[i] = stay(text[i].as_py() or "", set(zip(a[i].as_py(), b[i].as_py(), strict=True)), second, blank)
+                    new.append(shorter if gone[i] else text[i].as_py())
+                lines = pc.add(pc.fill_null(pc.count_substring(text, "\n"), 0), 1).cast(pa.int64())
+                if len(rows):
+                    text = pc.replace_with_mask(text, judged, pa.array(new, text.type))
+                kept = [text if i == text_at else batch.column(i) for i in range(columns)]
+                yield pa.RecordBatch.from_arrays([*kept, lines, pa.array(gone)], names)
+
+    return of
+
+
 class LineRuns:
     """Levelled sorted runs of (a, b, n_docs, last_doc) under a shared folder."""
 
@@ -90,9 +154,11 @@ def drop_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     A line whose key is in ``min_docs`` documents or more stays only in the largest of them.
     """
     spark = docs.sparkSession
-    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
-    keys = F.transform(lines, lambda x: hashed(line_key(x), min_chars))
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.explode(F.array_distinct(F.filter(keys, lambda k: k.isNotNull()))).alias("k")).select("doc_id", "k.a", "k.b")
+    ship(spark)
+    keys = F.filter(F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), lambda x: hashed(line_key(x), min_chars)), lambda k: k.isNotNull())
+    slim = docs.select(F.col(id_col).alias("doc_id"), keys.alias("keys"))
+    repeats = F.size(F.array_distinct(F.transform("keys", lambda k: k["a"]))) < F.size("keys")
+    slim = slim.select("doc_id", F.explode(F.when(repeats, distinct_keys(F.col("keys"))).otherwise(F.col("keys"))).alias("k")).select("doc_id", "k.a", "k.b")
     slim = materialize(slim, "line-keys")
     cuts = slim.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 1000).alias("cuts")).first()["cuts"] or []
     runs = LineRuns(spark, min_docs)
@@ -107,13 +173,13 @@ def drop_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     shared = materialize(runs.merged().where((F.col("n_docs") >= min_docs) & F.col("last_doc").isNotNull()), "shared-lines")
     # Both sides are stored tables, so adaptive execution splits the partition of a line that very many documents hold.
     lost = slim.join(shared.select("a", "b", "last_doc"), ["a", "b"]).where(F.col("doc_id").isNull() | (F.col("doc_id") < F.col("last_doc")))
-    lost = lost.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set(F.struct("a", "b")).alias("_lost"))
-    met = docs.join(lost, same(F.col(id_col), F.col("_doc")), "left")
-    judged = F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), lambda x: F.struct(x.alias("line"), hashed(line_key(x), min_chars).alias("k")))
-    kept = F.when(F.col("_lost").isNull(), lines).otherwise(F.transform(F.filter(judged, lambda x: x["k"].isNull() | ~F.array_contains(F.col("_lost"), x["k"])), lambda x: x["line"]))
-    met = met.withColumn("_kept", kept).withColumn("_n_lines", F.size(lines).cast("long")).withColumn("_n_dropped", F.col("_n_lines") - F.size("_kept"))
-    met = met.withColumn(text_col, F.when(F.col("_n_dropped") == 0, F.col(text_col)).otherwise(F.array_join("_kept", "\n")))
-    return met.select(*[c for c in docs.columns if c not in ("n_lines", "n_dropped")], F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"))
+    own = uuid.uuid4().hex  # names that no table has
+    lost = lost.groupBy(F.col("doc_id").alias(f"doc_{own}")).agg(F.collect_set(F.struct("a", "b")).alias("lost"))
+    lost = lost.select(f"doc_{own}", F.col("lost.a").alias(f"a_{own}"), F.col("lost.b").alias(f"b_{own}"))
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    met = docs.join(lost, same(F.col(id_col), F.col(f"doc_{own}")), "left").select(*columns, f"a_{own}", f"b_{own}")
+    schema = StructType([*[docs.schema[c] for c in columns], StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
+    return met.mapInArrow(_kept(min_chars, columns.index(text_col), len(columns), schema.names), schema)
 
 
 def line_report(docs: DataFrame, **how) -> DataFrame:

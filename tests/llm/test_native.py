@@ -224,3 +224,26 @@ def test_mixed_documents(spark):
     assert max(copies.values()) <= 2
     words = sum(copies[i] * len(t.split()) for i, t, _ in rows)
     assert abs(words - 1.5 * sum(len(t.split()) for _, t, _ in rows)) < 20
+
+
+def test_documents_of_very_many_shared_lines(spark):
+    """Three documents of the same 60,000 lines, and one that repeats a line: time is linear in lines."""
+    import time
+
+    body = "\n".join(f"a line that three documents share, number {i}" for i in range(60_000))
+    rows = [(1, body, "s"), (2, body.upper(), "s"), (3, body, "s"), (4, "\n".join(["the very same line in one document"] * 60_000), "s"), (5, None, "s")]
+    frame = docs(spark, rows).withColumn("_lost", F.lit(1)).withColumn("_doc", F.lit(2))
+    began = time.time()
+    got = {r.doc_id: r for r in linededup.drop_lines(frame).collect()}
+    assert time.time() - began < 90
+    assert {i: (r.n_lines, r.n_dropped) for i, r in got.items()} == {1: (60_000, 60_000), 2: (60_000, 60_000), 3: (60_000, 0), 4: (60_000, 0), 5: (1, 0)}
+    assert got[1].text == "" and got[3].text == body and got[5].text is None and got[1]._lost == 1
+
+
+def test_keys_in_python_are_those_of_spark(spark):
+    import xxhash
+
+    for text in ("a line of twenty chars", "é" * 25, "x" * 100):
+        a, b = spark.range(1).select(F.xxhash64(F.lit(text)).alias("a"), F.xxhash64(F.lit(1), F.lit(text)).alias("b")).first()
+        raw = text.encode()
+        assert (a % 2**64, b % 2**64) == (xxhash.xxh64_intdigest(raw, 42), xxhash.xxh64_intdigest(raw, linededup._second_seed()))
