@@ -40,6 +40,8 @@ from formbook.llm.common import materialize, same, ship, skew_join
 BANDS, ROWS = 32, 4
 #: Signatures that agree in fewer places than threshold minus this are not verified (6 standard deviations).
 SLACK = 0.22
+#: Bits of the filter that texts pass before they are shuffled, a power of two: 4 MB whatever is wanted. Where more is wanted than it can tell apart, more texts pass.
+FILTER_BITS = 1 << 25
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -94,7 +96,7 @@ def _signatures(words: int, seed: int):
                     continue
                 cls.append(xxhash.xxh3_128_digest(h.tobytes()))
                 sig.append(minima(h, a, b).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(sig, pa.binary())], ["doc_id", "text_key", "n_shingles", "digest", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(sig, pa.binary())], ["doc_id", "text_key", "text_check", "n_shingles", "digest", "sig"])
 
     return of
 
@@ -167,10 +169,41 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def key_bits(keys: DataFrame, key: str) -> np.ndarray:
+    """A bit for each remainder of ``key`` by ``FILTER_BITS``, as bytes; set where a key has it."""
+    place = 1 + F.pmod(F.col(key), F.lit(FILTER_BITS))
+    parts = keys.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in parts.collect():  # at most FILTER_BITS / 32768 rows of 4 kB
+        raw = np.frombuffer(r.bits, np.uint8)
+        out[(r.part - 1) * len(raw) : r.part * len(raw)] = raw
+    return out
+
+
+def _held(bits):
+    """Rows whose first column's bit is set."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = bits.value
+        for batch in batches:
+            at = batch.column(0).to_numpy().view(np.uint64) & np.uint64(FILTER_BITS - 1)
+            held = (own[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
+            yield batch.filter(pa.array(held.astype(bool)))
+
+    return of
+
+
+def text_keys(text: str) -> list[Column]:
+    """Two hashes that a text is found again by."""
+    return [F.xxhash64(text).alias("text_key"), F.xxhash64(F.lit(1), text).alias("text_check")]
+
+
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(class, set) of the ``wanted`` classes (class, digest, text_key): their texts are found again by hash and hashed once more."""
+    """(class, set) of the ``wanted`` classes (class, digest, text_key, text_check): their texts are found again by two hashes and hashed once more."""
+    bits = docs.sparkSession.sparkContext.broadcast(key_bits(wanted, "text_key"))
+    held = docs.where("text is not null").select(*text_keys("text"), "text").mapInArrow(_held(bits), "text_key long, text_check long, text string")
     # ``wanted`` is a stored table, so adaptive execution splits the copies of one text; one of them leaves each task.
-    texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(wanted, "text_key").groupBy("class", "digest").agg(F.first("text").alias("text"))
+    texts = held.join(wanted, ["text_key", "text_check"]).groupBy("class", "digest").agg(F.first("text").alias("text"))
     return texts.select("class", "digest", "text").mapInArrow(_sets(words), "class long, set array<bigint>")
 
 
@@ -213,24 +246,28 @@ def rooted_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """(doc_id, text_key, n_shingles, root) of every row; rows of one root are one component, and a row without words has none."""
     ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    signed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    signed = materialize(signed.mapInArrow(_signatures(words, seed), "doc_id long, text_key long, n_shingles long, digest binary, sig binary"), "signatures")
-    classes = signed.where("digest is not null").groupBy("digest").agg(F.min_by("text_key", "text_key").alias("text_key"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("n"))
+    signed = docs.select("doc_id", "text", *text_keys("text"))
+    signed = materialize(signed.mapInArrow(_signatures(words, seed), "doc_id long, text_key long, text_check long, n_shingles long, digest binary, sig binary"), "signatures")
+    classes = signed.where("digest is not null").groupBy("digest").agg(F.min(F.struct("text_key", "text_check")).alias("text"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("n"))
     # Below, a class goes by its number: half as long as its hash, and stored here, so it stays when tasks run again.
-    classes = materialize(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
+    classes = materialize(classes.select("digest", "text.text_key", "text.text_check", "sig", "n", F.monotonically_increasing_id().alias("class")), "classes")
     banded = classes.select("class", F.explode(bands(F.col("sig"))).alias("band"))
     pivots = banded.groupBy("band").agg(F.min("class").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = materialize(banded.join(pivots, "band"), "buckets")
     stars = buckets.where(F.col("class") != F.col("pivot")).groupBy(F.col("pivot").alias("a"), F.col("class").alias("b")).agg(F.min("n").alias("n"))
     # What is looked at again of the members of buckets with more than one class: their signatures, and their sets, which
     # are verified below, or once more after the stars.
-    signs = materialize(buckets.select("class").distinct().join(classes.select("class", "digest", "text_key", "sig"), "class"), "wanted-signs")
+    signs = materialize(buckets.select("class").distinct().join(classes.select("class", "digest", "text_key", "text_check", "sig"), "class"), "wanted-signs")
     wanted = materialize(signs.drop("sig"), "wanted")  # slim, so that Spark measures it without the signatures
     sig = lambda c: signs.select(F.col("class").alias(c), F.col("sig").alias(f"sig_{c}"))
-    agreed = _agreement(stars.join(sig("a"), "a").join(sig("b"), "b"))
+    stars = materialize(stars, "stars")
+    # A pivot of very many classes is dealt out.
+    agreed = _agreement(skew_join(stars, sig("a"), ["a"], stars.groupBy("a").agg(F.count(F.lit(1)).alias("n"))).join(sig("b"), "b"))
     # The pair of a bucket of two is verified whatever its signatures say: no later step looks at it again.
     agreed = materialize(agreed.where((F.col("agree") >= BANDS * ROWS * (percent / 100 - SLACK)) | (F.col("n") == 2)).select("a", "b"), "stars-agreed")
     sets = materialize(shingle_sets(docs, wanted, words), "sets")
+    if (missing := wanted.count() - sets.count()) != 0:
+        raise RuntimeError(f"{missing} classes have no set: the documents are not those that were signed")
     links = materialize(confirmed(agreed, sets, percent), "links-star")
     roots = materialize(components(links), "roots")
     # Buckets that still hold several components.
