@@ -268,6 +268,36 @@ def own_part(node: Node) -> bool:
     return any(c.tag in _HEADINGS for c in parts) and any(c.tag == "p" and c.text_n for c in parts)
 
 
+def lengths_of_runs(root: Node) -> None:
+    """Give every block the length and the commas of the text that is in it but in no block inside it, as ``blocks_of`` would write it."""
+    stack: list = [(root, False)]
+    blocks, run = [root], []
+
+    def flush() -> None:
+        if run:
+            text = " ".join(entities.unescape("".join(run)).split())
+            blocks[-1].inner_n += len(text)
+            blocks[-1].commas += sum(map(text.count, ",،、，"))
+            run.clear()
+
+    while stack:
+        x, ends = stack.pop()
+        if isinstance(x, str):
+            run.append(x)
+        elif ends:
+            flush()
+            blocks.pop()
+        elif x.tag == "br":
+            run.append(" ")
+        else:
+            if x.tag in _BLOCK:
+                flush()
+                blocks.append(x)
+                stack.append((x, True))
+            stack.extend((c, False) for c in reversed(x.children))
+    flush()
+
+
 def summed(order: list[Node]) -> None:
     """For every node, from its descendants up: lengths of text and of links, commas, links, heads of comments, articles with text (but for those in comments)."""
     talk: set[int] = set()  # nodes that are comments, or in them
@@ -277,12 +307,12 @@ def summed(order: list[Node]) -> None:
         node.author, node.date, node.articles = bool(words & _AUTHOR_WORDS), node.tag == "time" or bool(words & _DATE_WORDS), False
         if node.parent is not None and id(node.parent) in talk or node.names and naming(node) & _COMMENT_WORDS:
             talk.add(id(node))
+    if order:
+        lengths_of_runs(order[0])
     for node in reversed(order):
         for c in node.children:
             if isinstance(c, str):
                 node.text_n += len(c.strip())
-                node.inner_n += len(" ".join(c.split()))
-                node.commas += sum(map(c.count, ",،、，"))
         if node.tag == "a":
             node.link_n = node.text_n
             node.links += 1
