@@ -1,8 +1,8 @@
 """Media columns: GIF files with LZW code streams, palettes, disposal and transparency.
 
 ``encode_gif`` stores 8-bit samples as timed frames. The palette holds the grey levels that occur, so that codes start
-as narrow as they can. A frame that repeats half or more of the one before is drawn over it, with the repeated samples
-transparent; before any other frame the canvas is disposed to the background. ``decode_gif`` reads any
+as narrow as they can. A frame that repeats a part of the one before is drawn over it, with the repeated samples
+transparent, where that makes the file shorter; before any other frame the canvas is disposed to the background. ``decode_gif`` reads any
 GIF: it follows the variable-width LZW codes through the dictionary, undoes interlacing, applies global and local
 palettes, transparency and the disposal of each frame, and yields the timed canvases.
 ``frames`` turns a table of GIFs into a table of frames with colour-histogram columns.
@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 from formbook.llm.common import materialize, ship
 
 #: Samples per row, rows per frame, hundredths of a second per frame.
-WIDTH, HEIGHT, DELAY = 64, 1024, 10
+WIDTH, HEIGHT, DELAY = 64, 32, 10
+#: Part of a frame's samples that repeat those before, from which on drawing over them is tried.
+REPEATED = 0.2
 #: Fixed value: codes of a GIF stream have 12 bits at most.
 MOST_CODES = 4096
 
@@ -150,19 +152,19 @@ def encode_gif(payload: bytes, width: int = WIDTH, height: int = HEIGHT, delay:
     grey[: len(levels)] = levels[:, None]
     step = width * height
     cuts = [drawn[i : i + step] for i in range(0, len(drawn), step)]
+    streams = [lzw_encode(c, size) for c in cuts]
     over = [False] * (len(cuts) + 1)  # whether a frame is drawn over the one before
-    for i in range(1, len(cuts)):
+    for i in range(1, len(cuts) if hollow is not None else 0):
         here = np.frombuffer(cuts[i], np.uint8)
         same = here == np.frombuffer(cuts[i - 1], np.uint8)[: len(here)]
-        over[i] = hollow is not None and 2 * int(same.sum()) >= len(here)
+        if same.mean() >= REPEATED:
+            shorter = lzw_encode(np.where(same, np.uint8(hollow), here).tobytes(), size)
+            over[i] = len(shorter) < len(streams[i])
+            streams[i] = min(streams[i], shorter, key=len)
     parts = [b"GIF89a", struct.pack("<HHBBB", width, len(cuts[0]) // width, 0xF0 | size - 1, 0, 0), grey.tobytes()]
-    for i, samples in enumerate(cuts):
-        if over[i]:
-            here = np.frombuffer(samples, np.uint8)
-            samples = np.where(here == np.frombuffer(cuts[i - 1], np.uint8)[: len(here)], np.uint8(hollow), here).tobytes()
-        stream = lzw_encode(samples, size)
+    for i, stream in enumerate(streams):
         disposal = 1 if over[i + 1] else 2
-        parts.append(b"\x21\xf9\x04" + struct.pack("<BHB", disposal << 2 | over[i], delay, hollow or 0) + b"\x00\x2c" + struct.pack("<HHHHB", 0, 0, width, len(samples) // width, 0) + bytes([size]))
+        parts.append(b"\x21\xf9\x04" + struct.pack("<BHB", disposal << 2 | over[i], delay, hollow or 0) + b"\x00\x2c" + struct.pack("<HHHHB", 0, 0, width, len(cuts[i]) // width, 0) + bytes([size]))
         parts += [bytes([len(block)]) + block for j in range(0, len(stream), 255) if (block := stream[j : j + 255])]
         parts.append(b"\x00")
     return b"".join([*parts, b"\x3b"])

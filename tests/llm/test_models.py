@@ -425,7 +425,7 @@ def test_repeated_frames_are_drawn_over_with_transparency(spark):
     import hashlib
 
     payload = media.payload_of(text)
-    assert r.payload_sha256 == hashlib.sha256(payload).hexdigest() and [f.height for f in r.frames] == [1024, 1024, 1024, -(-1000 // 64)]
+    assert r.payload_sha256 == hashlib.sha256(payload).hexdigest() and [f.height for f in r.frames] == [media.HEIGHT] * 3 + [-(-1000 // 64)]
     assert [sum(f.histogram) for f in r.frames] == [f.height * 64 for f in r.frames] and r.feature.startswith("frames=4;ms=400;hist=")
 
 
@@ -452,7 +452,7 @@ def test_media_report(spark):
         stored = media.encode_gif(payload)
         assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
     frames = media.frames(media.stored(docs(spark, rows)).where("media_id = 4")).orderBy("frame").collect()
-    assert len(frames) == 5 and [f.start_ms for f in frames] == [0, 100, 200, 300, 400] and sum(sum(f.histogram) for f in frames) == 300032
+    assert [f.start_ms for f in frames] == [100 * i for i in range(-(-300032 // (media.WIDTH * media.HEIGHT)))] and sum(sum(f.histogram) for f in frames) == 300032
     assert media.frames(spark.createDataFrame([(1, None), (2, bytearray(b"no gif"))], "media_id long, media binary")).count() == 0
 
 
@@ -481,3 +481,90 @@ def test_html_judges_blocks_by_build():
     assert "Other story" not in inside("<div class='related-posts'><a href='x'>Other story</a> <a href='y'>Other story too</a></div>")
     assert "so x=1 holds" in inside("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1 tex</annotation></math> holds</p>")
     assert "tex" not in inside("<p>so <math><mi>x</mi><annotation>tex</annotation></math></p>")
+
+
+def test_frames_of_the_given_table_meet_disposal_and_transparency():
+    """Documents of the given table in several frames, of which some are drawn over the one before; a frame that is not starts on an empty canvas."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.1/documents.parquet").column("text").to_pylist()
+    several = [t for t in texts if len(t or "") > 2 * media.WIDTH * media.HEIGHT]
+    assert len(several) > 100
+    drawn_over = disposed = 0
+    for t in several[:1500]:
+        payload = media.payload_of(t)
+        raw = media.encode_gif(payload)
+        marks = [raw[i + 3] for i in range(len(raw) - 7) if raw[i : i + 3] == b"\x21\xf9\x04" and raw[i + 7 : i + 9] == b"\x00\x2c"]
+        drawn_over += any(m & 1 for m in marks)
+        disposed += any(m >> 2 == 2 for m in marks)
+        assert b"".join(f.canvas[f.box[1] : f.box[1] + f.box[3], :, 0].tobytes() for f in media.decode_gif(raw)) == payload
+    assert drawn_over >= 1 and disposed > 100, (drawn_over, disposed)
+
+
+def test_chain_against_plain_loops(spark):
+    """Folds, vocabularies, out-of-fold feeding, thresholds and scores by plain loops over the same documents."""
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(240):
+        words = prose(i, rng.randrange(8, 40))
+        bad, junk = i % 5 == 0, i % 4 == 0
+        if bad and rng.random() < 0.9:
+            words.insert(rng.randrange(len(words)), "zorgwicht")
+        text = " ".join(words) + ("!!!! 12" if junk and rng.random() < 0.9 else "")
+        rows.append((i, text, "s"))
+        labels.append((i, int(not junk) if i % 11 else None, int(bad)))
+    rows += [rows[3]] * 40  # a row that is there many times trains once
+    frame, truth = docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    chain = toxicity.label_chain(frame, truth)
+    fold = {r.doc_id: r.f for r in truth.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(toxicity.FOLDS)).cast("int").alias("f")).collect()}
+    texts = {i: t for i, t, _ in rows}
+    ids = sorted(texts)
+    y = np.array([[-1 if q is None else int(q == 0), t] for _, q, t in labels])
+
+    def best_terms(held):
+        use = [i for i in ids if fold[i] != held]
+        score = {}
+        for c in range(2):
+            n = sum(y[i, c] >= 0 for i in use)
+            pos = sum(y[i, c] == 1 for i in use)
+            counts = defaultdict(lambda: [0, 0])
+            for i in use:
+                for t in toxicity.terms(texts[i]):
+                    counts[t][0] += y[i, c] >= 0
+                    counts[t][1] += y[i, c] == 1
+            for t, (b, a) in counts.items():
+                if b:
+                    score[t] = max(score.get(t, 0.0), n * (a * n - b * pos) ** 2 / (b * pos * (n - b + 0.5) * (n - pos)))
+        return {t for t in score if score[t] >= toxicity.LEAST_SCORE}
+
+    most = defaultdict(int)
+    for t in set().union(*[toxicity.terms(texts[i]) for i in ids]):
+        most[t] = sum(max(sum(fold[i] == f and y[i, c] >= 0 and t in toxicity.terms(texts[i]) for i in ids) for c in range(2)) for f in range(toxicity.FOLDS))
+    chosen = [{t for t in best_terms(held) if most[t] >= toxicity.LEAST_DOCS} for held in range(toxicity.FOLDS + 1)]
+    every = sorted(set().union(*chosen))
+    assert chain.vocabulary == {t: i for i, t in enumerate(sorted(chosen[-1]))}
+    columns = [np.array([t in c for t in every]) for c in chosen]
+    indices = [np.array(sorted(every.index(t) for t in toxicity.terms(texts[i]) if t in set(every)), np.int64) for i in ids]
+    base, folds = np.array([toxicity.shape(texts[i]) for i in ids]), np.array([fold[i] for i in ids])
+    seen = np.empty((len(ids), 0))
+    for c in range(2):
+        x = toxicity.Rows(indices, np.hstack([base, toxicity.logit(seen), np.ones((len(ids), 1))]), len(every))
+        held = np.empty(len(ids))
+        for f in range(toxicity.FOLDS):
+            w = toxicity.logistic(x, np.maximum(y[:, c], 0), (y[:, c] >= 0) & (folds != f), columns[f])
+            held[folds == f] = toxicity.sigmoid(x.dot(w))[folds == f]
+        w = toxicity.logistic(x, np.maximum(y[:, c], 0), y[:, c] >= 0, columns[-1])
+        assert np.allclose(chain.weights[c], np.concatenate([w[: len(every)][columns[-1]], w[len(every) :]]), atol=1e-6)
+        use = y[:, c] >= 0
+        tries = np.linspace(0.2, 0.8, 61)
+        errors = [int(((held[use] >= t) != (y[use, c] == 1)).sum()) for t in tries]
+        assert chain.thresholds[c] == tries[min(range(61), key=lambda j: (errors[j], abs(tries[j] - 0.5)))]
+        seen = np.hstack([seen, held[:, None]])
+
+
+def test_toxicity_sample_is_bounded_by_rows(spark):
+    """One id with very many texts: no more than the sample trains."""
+    rows = [(1, f"text number {i} of one id with words enough", "s") for i in range(3000)] + [(i, f"other text {i} here", "s") for i in range(2, 40)]
+    truth = spark.createDataFrame([(i, i % 2, i % 3 == 0) for i in range(1, 40)], "doc_id long, quality int, toxic boolean").withColumn("toxic", F.col("toxic").cast("int"))
+    chain = toxicity.label_chain(docs(spark, rows), truth, sample=100)
+    assert len(chain.weights) == 2 and toxicity.score(docs(spark, rows).limit(50), chain).count() == 50
