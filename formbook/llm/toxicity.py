@@ -10,14 +10,14 @@ The vocabulary holds words and word beginnings, which carry stems through inflec
 chosen by a chi-squared score over the sample, counted in Spark; each fold's model has a vocabulary of its own, chosen without
 the fold, so that out-of-fold probabilities have seen nothing of the held-out labels.
 
-Scale: training sees at most ``sample`` labelled documents, the first by a hash of their ids; with the
+Scale: training sees at most ``sample`` labelled documents, the first by a hash of their ids (and of their texts, where ids have several); with the
 vocabulary (at most ``features``) this bounds the sketch of the sample. The models of a category - one for each fold and one
 for all - are fitted side by side, each in a task of its own that reads the sketch; the driver gets weights and out-of-fold probabilities. Scoring is one
 map over all documents and their whole texts, without a shuffle.
 
 Edge cases: a null or empty text has no words, trains nothing and is scored by the intercept and shape alone; a document trains the
-categories of which it has a label; labels of unknown documents are left out; a doc_id with several labels or texts trains with each; repeated rows
-are scored alike; without labels of both kinds a category's probability is its share (0 without any labels);
+categories of which it has a label; labels of unknown documents are left out; a doc_id with several labels or texts trains with each, and a row
+that repeats id and text once; repeated rows are scored alike; without labels of both kinds a category's probability is its share (0 without any labels);
 an empty table gives an empty result; extra columns are not read.
 """
 
@@ -169,8 +169,15 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
     labelled = [F.col(f"y_{i}").isNotNull() for i in range(len(names))]
     truth = labels.select(F.col("doc_id").alias("_id"), *[c.cast("int").alias(f"y_{i}") for i, c in enumerate(categories.values())]).where(F.col("_id").isNotNull() & reduce(Column.__or__, labelled))
     chosen = truth.withColumn("_order", F.xxhash64("_id", F.lit(seed))).orderBy("_order", "_id", *[f"y_{i}" for i in range(len(names))]).limit(sample)
-    met = docs.select("doc_id", "text").where(F.length(F.trim("text")) > 0).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # at most ``sample`` rows
-    met = met.select("doc_id", "text", F.pmod("_order", F.lit(FOLDS)).cast("int").alias("fold"), F.array(*[F.coalesce(f"y_{i}", F.lit(-1)) for i in range(len(names))]).alias("y"))
+    chosen = F.broadcast(materialize(chosen, "chosen-labels").limit(sample))  # at most ``sample`` rows
+    # Rows that repeat id and text train once; only texts with a label travel, and one of their copies from each task.
+    known = docs.select("doc_id", "text").where(F.length(F.trim("text")) > 0).join(chosen, F.col("doc_id") == F.col("_id"), "left_semi")
+    once = known.groupBy("doc_id", F.xxhash64("text").alias("key"), F.xxhash64(F.lit(1), "text").alias("check")).agg(F.first("text").alias("text"))
+    met = once.join(chosen, F.col("doc_id") == F.col("_id"))
+    met = met.select("doc_id", "text", F.pmod("_order", F.lit(FOLDS)).cast("int").alias("fold"), F.array(*[F.coalesce(f"y_{i}", F.lit(-1)) for i in range(len(names))]).alias("y"), F.xxhash64("key", "check", "_order").alias("place"))
+    met = materialize(met, "labelled")
+    if met.count() > sample:  # an id may have very many texts
+        met = materialize(met.orderBy("place", "doc_id").limit(sample).repartition(8, "place"), "labelled-bounded")
     kinds = 2 * len(names)  # for each category: documents with a label, and with a true one
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
