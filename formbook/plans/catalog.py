@@ -513,7 +513,7 @@ def z2_elo_grid(spark, d):
 
 
 def _register_all() -> None:
-    from formbook.plans import assembled, features, learned, live, reports, rows, upkeep  # noqa: F401  they register themselves with this module
+    from formbook.plans import assembled, features, learned, live, matchups, reports, rows, upkeep  # noqa: F401  they register themselves with this module
 
 
 def queries() -> dict[str, Query]:
