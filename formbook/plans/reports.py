@@ -8,7 +8,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from formbook.functions import features as X
-from formbook.operators import backfill, models, reshape, rules, sketches, terms, views
+from formbook.operators import backfill, dedup, models, reshape, rules, selection, sketches, terms, views
+from formbook.operators import reports as nested
 from formbook.operators import windows as win
 from formbook.plans.assembled import weights
 from formbook.plans.catalog import SEASON_T, G, P, T, games, pitches, r6, register, season_order, table
@@ -209,3 +210,91 @@ def a12_sketches_of_ranges(spark, d):
     within = ranges.withColumn("game_date", F.explode(F.sequence("first_day", "last_day")))
     exact = within.join(p.select("game_date", "pair").distinct(), "game_date").groupBy("first_day", "last_day").agg(F.count_distinct("pair").alias("exact"))
     return exact.join(about, ["first_day", "last_day"]).select("first_day", "last_day", "exact", (F.abs(F.col("about") - F.col("exact")) <= 0.02 * F.col("exact")).alias("close"))
+
+
+# --- M31 ---------------------------------------------------------------------------------
+def _sides(r):
+    """Both sides of a report: (report, venue, team, opponent); the home side's ground is the venue."""
+    return r.select("report", F.col("home").alias("venue"), F.explode(F.array(F.struct(F.col("home").alias("team"), F.col("away").alias("opponent")), F.struct(F.col("away").alias("team"), F.col("home").alias("opponent")))).alias("x")).select("report", "venue", "x.*")
+
+
+def _batting(p, *by):
+    """Plate appearances and hitting value of batters by more keys."""
+    return p.groupBy((F.col("batter") % 10).alias("team"), "batter", *by).agg(F.count(F.lit(1)).alias("pa"), F.round(F.sum(weights()) / (1000.0 * F.count(F.lit(1))) - 0.4, 3).alias("woba"))
+
+
+def _best(rows, section: str, most: int):
+    place = F.row_number().over(W.partitionBy("report", "team").orderBy(F.desc("woba"), "batter"))
+    return rows.withColumn("place", place).where(F.col("place") <= most).select("report", F.lit(section).alias("section"), "team", F.col("place").cast("long").alias("place"), F.col("batter").alias("subject"), F.col("woba").alias("value"))
+
+
+def sections(spark, d):
+    """(report, section, team, place, subject, value): batters against the other team, its first arm and at the venue, hot and cold ones, meetings by season, news."""
+    p, r = pitches(spark, d).where("batter IS NOT NULL"), rivals(spark, d)
+    sides = _sides(r)
+    parts = [_best(sides.join(_batting(p, (F.col("pitcher") % 10).alias("opponent")).where("pa >= 8"), ["team", "opponent"]), "vs_team", 5)]
+    arms = p.groupBy((F.col("pitcher") % 10).alias("opponent"), "pitcher").agg(F.count(F.lit(1)).alias("n"))
+    arms = arms.withColumn("rn", F.row_number().over(W.partitionBy("opponent").orderBy(F.desc("n"), "pitcher"))).where("rn = 1").select("opponent", "pitcher")
+    parts.append(_best(sides.join(arms, "opponent").join(_batting(p, "pitcher").where("pa >= 3"), ["team", "pitcher"]), "vs_pitcher", 5))
+    parts.append(_best(sides.join(_batting(p, (F.col("game_pk") % 10).alias("venue")).where("pa >= 5"), ["team", "venue"]), "venue", 5))
+    last = p.agg(F.date_sub(F.max("game_date"), 14).alias("since"))  # one row
+    late = _batting(p.join(F.broadcast(last)).where(F.col("game_date") > F.col("since"))).select("batter", F.col("woba").alias("of_late"), F.col("pa").alias("late_pa")).where("late_pa >= 5")
+    form = _batting(p).join(late, "batter").withColumn("delta", F.round(F.col("of_late") - F.col("woba"), 3))
+    ends = dedup.both_ends(form, ["team"], "delta", "batter", 3, 0.015, -0.015)
+    ranked = ends.withColumn("place", F.row_number().over(W.partitionBy("team", "end").orderBy(F.abs("delta").desc(), "batter")))
+    parts.append(sides.join(ranked, "team").select("report", F.col("end").alias("section"), "team", F.col("place").cast("long").alias("place"), F.col("batter").alias("subject"), F.col("delta").alias("value")))
+    t = reshape.to_team_grain(games(spark, d)).where("is_home AND team_id % 10 <> opponent_id % 10")
+    a, b = F.col("team_id") % 10, F.col("opponent_id") % 10
+    yearly = t.groupBy((100 * F.least(a, b) + F.greatest(a, b)).alias("report"), F.least(a, b).alias("team"), "season").agg(F.sum(F.when(a < b, F.col("won")).otherwise(1 - F.col("won"))).cast("double").alias("value"))
+    parts.append(yearly.select("report", F.lit("h2h_yearly").alias("section"), "team", F.row_number().over(W.partitionBy("report").orderBy(F.desc("season"))).cast("long").alias("place"), F.col("season").alias("subject"), "value"))
+    words = table(spark, d, "nation").where("n_nationkey < 10").select(F.col("n_nationkey").cast("long").alias("team"), F.lower(F.substring("n_name", 1, 3)).alias("word"))
+    docs = table(spark, d, "documents").select("doc_id", F.lower("text").alias("text"))
+    hits = terms.met(docs, words, "doc_id", "text", "word").join(words, "word")
+    newest = hits.withColumn("place", F.row_number().over(W.partitionBy("team").orderBy(F.desc("doc_id")))).where("place <= 4")
+    parts.append(sides.join(newest, "team").select("report", F.lit("news").alias("section"), "team", F.col("place").cast("long").alias("place"), F.col("doc_id").alias("subject"), F.lit(None).cast("double").alias("value")))
+    out = parts[0]
+    for q in parts[1:]:
+        out = out.unionByName(q)
+    return out
+
+
+def _best_sql(section: str, key: str, least: int, join: str, extra: str = "") -> str:
+    own = "batter % 10 AS team, batter, " + key
+    return f"""SELECT report, '{section}' AS section, team, place, batter AS subject, woba AS value FROM (SELECT side.report, b.*, row_number() OVER (PARTITION BY report, b.team ORDER BY woba DESC, batter) AS place FROM side {extra} JOIN
+ (SELECT {own}, count(*) AS pa, round(sum({CASES}) / (1000.0 * count(*))::DOUBLE - 0.4, 3) AS woba FROM p WHERE batter IS NOT NULL GROUP BY 1, 2, 3 HAVING count(*) >= {least}) b ON b.team = side.team AND {join}) WHERE place <= 5"""
+
+
+@register(
+    f"""WITH {T}, {P}, {RIVALS}, side AS (SELECT report, home AS venue, home AS team, away AS opponent FROM r UNION ALL SELECT report, home, away, home FROM r),
+ arm AS (SELECT pitcher % 10 AS opponent, pitcher FROM p WHERE batter IS NOT NULL GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY pitcher % 10 ORDER BY count(*) DESC, pitcher) = 1),
+ allb AS (SELECT batter % 10 AS team, batter, round(sum({CASES}) / (1000.0 * count(*))::DOUBLE - 0.4, 3) AS woba FROM p WHERE batter IS NOT NULL GROUP BY 1, 2), lateb AS (SELECT batter, round(sum({CASES}) / (1000.0 * count(*))::DOUBLE - 0.4, 3) AS of_late FROM p WHERE batter IS NOT NULL AND game_date > (SELECT max(game_date) - 14 FROM p WHERE batter IS NOT NULL) GROUP BY 1 HAVING count(*) >= 5),
+ f AS (SELECT team, batter, round(of_late - woba, 3) AS delta FROM allb JOIN lateb USING (batter)), fr AS (SELECT *, row_number() OVER (PARTITION BY team ORDER BY delta DESC, batter) AS u, row_number() OVER (PARTITION BY team ORDER BY delta, batter) AS v FROM f),
+ fe AS (SELECT team, batter, delta, CASE WHEN u <= 3 AND delta >= 0.015 THEN 'hot' WHEN v <= 3 AND delta <= -0.015 THEN 'cold' END AS ends FROM fr), fp AS (SELECT *, row_number() OVER (PARTITION BY team, ends ORDER BY abs(delta) DESC, batter) AS place FROM fe WHERE ends IS NOT NULL),
+ y AS (SELECT 100 * least(team_id % 10, opponent_id % 10) + greatest(team_id % 10, opponent_id % 10) AS report, least(team_id % 10, opponent_id % 10) AS team, season, sum(CASE WHEN team_id % 10 < opponent_id % 10 THEN won ELSE 1 - won END)::DOUBLE AS value FROM t WHERE is_home AND team_id % 10 <> opponent_id % 10 GROUP BY 1, 2, 3),
+ n AS (SELECT n_nationkey AS team, doc_id FROM documents JOIN nation ON n_nationkey < 10 AND contains(lower(text), lower(substr(n_name, 1, 3))) QUALIFY row_number() OVER (PARTITION BY n_nationkey ORDER BY doc_id DESC) <= 4),
+ al AS ({_best_sql("vs_team", "pitcher % 10 AS opponent", 8, "b.opponent = side.opponent")} UNION ALL {_best_sql("vs_pitcher", "pitcher", 3, "b.pitcher = arm.pitcher", "JOIN arm ON arm.opponent = side.opponent")} UNION ALL {_best_sql("venue", "game_pk % 10 AS venue", 5, "b.venue = side.venue")}
+ UNION ALL SELECT report, ends, side.team, place, batter, delta FROM side JOIN fp ON fp.team = side.team UNION ALL SELECT report, 'h2h_yearly', team, row_number() OVER (PARTITION BY report ORDER BY season DESC), season, value FROM y
+ UNION ALL SELECT report, 'news', side.team, row_number() OVER (PARTITION BY report, side.team ORDER BY doc_id DESC), doc_id, NULL FROM side JOIN n ON n.team = side.team)
+ SELECT report::BIGINT AS report, section, team::BIGINT AS team, place::BIGINT AS place, subject::BIGINT AS subject, value::DOUBLE AS value FROM al"""
+)
+def m31_report_sections(spark, d):
+    return sections(spark, d)
+
+
+@register()
+def m31_reports(spark, d):
+    """Each report as one document of its sections, facts and watch list. A section is bounded, so a report is a short list."""
+    found, r = sections(spark, d), rivals(spark, d)
+    parts = [nested.section(found.where(F.col("section") == s), "report", s, ["team", "place", "subject", "value"], ["team", "place"]) for s in ("vs_team", "vs_pitcher", "venue", "hot", "cold", "h2h_yearly", "news")]
+    parts.append(nested.section(n25_report_facts(spark, d), "report", "facts", ["fact_no", "text"], ["fact_no"]))
+    parts.append(nested.section(n26_watch_list(spark, d), "report", "watch_list", ["fact_no", "text"], ["fact_no"]))
+    return nested.assemble(r.select("report", "home", "away"), "report", parts, "document")
+
+
+# --- P6, P8 --------------------------------------------------------------------------------
+@register("SELECT o_orderkey, o_totalprice::DOUBLE AS o_totalprice, (o_totalprice > 100000)::INT AS big, substr(o_orderpriority, 1, 1)::DOUBLE AS priority FROM orders")
+def p6_p8_numeric_features(spark, d):
+    """Of a table with flags and texts the columns that a model can take: a flag as a number, a text of digits as a double, a text of letters not at all; two lists of them as one."""
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").cast("double").alias("o_totalprice"), (F.col("o_totalprice") > 100000).alias("big"), F.substring("o_orderpriority", 1, 1).alias("priority"), "o_orderstatus")
+    found = selection.numeric(o)
+    return found.select(selection.feature_union(["o_orderkey", "big"], ["o_totalprice", "big", "priority", "o_orderstatus"], known=found.columns))

@@ -197,3 +197,54 @@ def test_pitcher_scores_against_plain_sums(spark):
     rates = [outs[p][1] / outs[p][0] for p in order]
     assert all(0 <= r.score <= 100 for r in got.values()) and statistics.correlation(range(len(order)), rates) > 0.8
     assert abs(sum(r.residual * outs[p][0] for p, r in got.items()) / sum(outs[p][0] for p in got)) < 0.5
+
+
+def test_numeric_selection_and_union_of_features(spark):
+    from formbook.operators import selection
+
+    rows = [(1, True, "2.5", "x", "1", None), (2, None, "bad", "y", "2", None), (3, False, "4", "1", "z", None)]
+    df = spark.createDataFrame(rows, "k long, flag boolean, t string, name string, mixed string, none string").withColumn("money", F.col("k").cast("decimal(10,2)"))
+    got = selection.numeric(df, keep=["name"])
+    assert got.dtypes == [("k", "bigint"), ("flag", "int"), ("t", "double"), ("name", "string"), ("mixed", "double"), ("money", "double")]
+    assert sorted((r.k, r.flag, r.t, r.mixed) for r in got.collect()) == [(1, 1, 2.5, 1.0), (2, None, None, 2.0), (3, 0, 4.0, None)]
+    assert selection.numeric(df.limit(0)).columns == ["k", "flag", "money"]
+    assert selection.feature_union(["a", "b"], ["b", "c", "a"], ["d"], known=["d", "a", "b"]) == ["a", "b", "d"]
+
+
+def test_careers_are_of_days_before_and_reach_back(spark):
+    """A batter in a lineup who did not face the starter that day still has what he did against him before; nothing of the day itself counts."""
+    from formbook.operators import matchups
+
+    events = [(i, 1 + d, "2024-01-%02d" % (1 + d), b, pit, e, half) for i, (d, b, pit, e, half) in enumerate([(0, 7, 50, "home_run", "Top"), (0, 7, 50, "walk", "Top"), (0, 9, 60, "single", "Bot"), (5, 7, 51, "single", "Top"), (5, 8, 50, "single", "Top"), (5, 8, 50, "field_out", "Top"), (5, 9, 60, "strikeout", "Bot")])]
+    p = spark.createDataFrame([(i, g, d, b, pit, e, half, "R", "L", 1, 90.0) for i, g, d, b, pit, e, half in events], "pitch_id long, game_pk long, d string, batter long, pitcher long, events string, inning_topbot string, p_throws string, stand string, inning int, release_speed double").withColumn("game_date", F.to_date("d"))
+    value = F.expr("CASE events WHEN 'walk' THEN 690 WHEN 'single' THEN 880 WHEN 'home_run' THEN 2031 ELSE 0 END").cast("long")
+    got = {r.game_pk: r for r in matchups.table(p, value, least=1, least_pair=1).collect()}
+    assert got[1].away_lineup_woba_vs_hand is None and got[1].home_starter_woba_allowed == 0.32
+    assert got[6].home_starter_id == 50 and got[6].away_h2h_pa_total == 2 and got[6].away_h2h_woba == pytest.approx((2.031 + 0.69) / 2)
+    assert got[6].home_h2h_woba == pytest.approx(0.88) and got[6].home_starter_woba_allowed == pytest.approx((2.031 + 0.69) / 2) and got[6].away_starter_k_pct == 0.0
+
+
+@pytest.mark.parametrize("name", ["m5_matchup_table", "m7_matchup_row"])
+def test_matchup_tables_read_earlier_days_alone(spark, tmp_path, name):
+    from formbook.plans import catalog
+
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    later = F.to_date("ts") >= "2024-01-15"
+    # Later days have other outcomes; their lineups and starters are those of the day itself, so only earlier days are compared.
+    events.withColumn("event_type", F.when(later, F.lit("purchase")).otherwise(F.col("event_type"))).write.parquet(f"{tmp_path}/events.parquet")
+    both = [{(r.game_date, r.game_pk): r for r in catalog.queries()[name](spark, d).collect()} for d in (SF, str(tmp_path))]
+    early = [k for k in both[0] if str(k[0]) < "2024-01-15"]
+    assert len(early) > 20 and all(both[0][k] == both[1][k] for k in early)
+    on_the_day = [k for k in both[0] if str(k[0]) == "2024-01-15"]
+    assert all(both[0][k].home_lineup_woba_vs_hand == both[1][k].home_lineup_woba_vs_hand for k in on_the_day)
+
+
+def test_bullpen_load(spark):
+    from formbook.operators import matchups
+
+    rows = [(d, pit, inn) for d, pit, inn, n in [(1, 10, 9, 3), (1, 20, 2, 2), (3, 20, 9, 5), (8, 10, 3, 1), (9, 10, 3, 1)] for _ in range(n)]
+    p = spark.createDataFrame([("2024-01-%02d" % d, pit, inn, 1) for d, pit, inn in rows], "d string, pitcher long, inning int, game_pk long").withColumn("game_date", F.to_date("d"))
+    got = {r.game_date.day: r for r in matchups.bullpen(p, F.lit(0)).collect()}
+    assert (got[1].pitches, got[1].closer) == (0, None) and (got[3].pitches, got[3].closer, got[3].closer_rest) == (5, 10, 2)
+    assert got[3].fatigue == pytest.approx(5 * 6 / 7) and (got[8].pitches, got[8].closer, got[8].closer_rest) == (10, 20, 5)
+    assert got[9].pitches == 6 and got[9].fatigue == pytest.approx((5 * 2 + 1 * 7) / 7)
