@@ -77,11 +77,6 @@ def chunks(batch: pa.RecordBatch, column: int, most: int = 4_000_000) -> Iterato
         at = end
 
 
-def lower_ascii(c: Column) -> Column:
-    """Lower-case A-Z alone; other letters stay."""
-    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 

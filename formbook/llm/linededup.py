@@ -31,71 +31,79 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from formbook.llm.common import chunks, lower_ascii, materialize, same, scratch_path, ship
+from formbook.llm.common import chunks, materialize, same, scratch_path, ship
 
 #: Fixed value: the white space that a key loses at both ends.
 BLANK = " \t\n\x0b\x0c\r"
+#: The bytes of A-Z in lower case.
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: Seed of the first hash; that of the second is the first hash of the number 1.
+_SEED = 42
 
 
-def line_key(line: Column) -> Column:
-    return lower_ascii(F.trim(line, F.lit(BLANK)))
+def _second_seed() -> int:
+    import xxhash
 
+    return xxhash.xxh64_intdigest((1).to_bytes(4, "little"), _SEED)
 
-def hashed(key: Column, min_chars: int) -> Column:
-    """The key's two hashes; null where it is too short to be judged."""
-    return F.when(F.char_length(key) >= min_chars, F.struct(F.xxhash64(key).alias("a"), F.xxhash64(F.lit(1), key).alias("b")))
 
+def _hashes(min_chars: int):
+    """The two hashes of a line's key; None where the key is too short to be judged."""
+    import xxhash
 
-#: The bytes of A-Z in lower case: what ``lower_ascii`` does to UTF-8.
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-#: Seed of Spark's hash, and what it is after the number 1 that the second hash begins with.
-_SEED = 42
+    second, blank, first = _second_seed(), BLANK.encode(), xxhash.xxh64_intdigest
 
+    def of(line: str) -> tuple[int, int] | None:
+        if len(line) < min_chars or len(line.strip(BLANK)) < min_chars:
+            return None
+        key = line.encode("utf-8", "surrogatepass").strip(blank).translate(_LOWER)
+        return first(key, _SEED), first(key, second)
 
-def _second_seed() -> int:
-    import xxhash
+    return of
 
-    return xxhash.xxh64_intdigest((1).to_bytes(4, "little"), _SEED)
 
+def _keys(min_chars: int):
+    """Of (doc_id, text): (doc_id, a, b) for each distinct key of a row."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _hashes(min_chars)
+        for whole in batches:
+            for batch in chunks(whole, 1, 8_000_000):
+                at, a, b = [], [], []
+                for i, text in enumerate(batch.column(1).to_pylist()):
+                    own = {k for line in (text or "").split("\n") if (k := hashes(line)) is not None}
+                    at += [i] * len(own)
+                    a += [k[0] for k in own]
+                    b += [k[1] for k in own]
+                long = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), long(a), long(b)], ["doc_id", "a", "b"])
 
-def distinct_keys(keys: Column) -> Column:
-    """Distinct structs of an array by way of texts, whose comparison is by hash; arrays of structs are compared pair by pair."""
-    texts = F.array_distinct(F.transform(keys, lambda k: F.concat_ws(":", k["a"].cast("string"), k["b"].cast("string"))))
-    part = lambda x, i: F.split_part(x, F.lit(":"), F.lit(i)).cast("long")
-    return F.transform(texts, lambda x: F.struct(part(x, 1).alias("a"), part(x, 2).alias("b")))
+    return of
 
 
 def _kept(min_chars: int, text_at: int, columns: int, names: list[str]):
     """Of ``columns`` columns and the two halves of a row's lost keys: the columns with the lines that stay, lines before, lines that went."""
 
-    def stay(text: str, lost: set, second: int, blank: bytes) -> tuple[str, int]:
-        import xxhash
-
-        kept, n = [], 0
-        for line in text.split("\n"):
-            n += 1
-            if len(line.strip(BLANK)) >= min_chars:
-                key = line.encode("utf-8", "surrogatepass").strip(blank).translate(_LOWER)
-                pair = tuple(h - (1 << 64) if h >= 1 << 63 else h for h in (xxhash.xxh64_intdigest(key, _SEED), xxhash.xxh64_intdigest(key, second)))
-                if pair in lost:
-                    continue
-            kept.append(line)
-        return "\n".join(kept), n - len(kept)
+    def stay(text: str, lost: set, hashes) -> tuple[str, int]:
+        lines = text.split("\n")
+        kept = [x for x in lines if (k := hashes(x)) is None or k not in lost]
+        return "\n".join(kept), len(lines) - len(kept)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        second, blank = _second_seed(), BLANK.encode()
+        hashes = _hashes(min_chars)
         for whole in batches:
-            for batch in chunks(whole, text_at, 64_000_000):
+            for batch in chunks(whole, text_at, 8_000_000):
                 text, a, b = batch.column(text_at), batch.column(columns), batch.column(columns + 1)
                 judged = a.is_valid()
                 rows = np.flatnonzero(judged.to_numpy(zero_copy_only=False))
                 gone, new = np.zeros(batch.num_rows, np.int64), []
                 for i in rows.tolist():
-                    shorter, gone[i] = stay(text[i].as_py() or "", set(zip(a[i].as_py(), b[i].as_py(), strict=True)), second, blank)
+                    lost = set(zip(*(x[i].values.to_numpy().view(np.uint64).tolist() for x in (a, b)), strict=True))
+                    shorter, gone[i] = stay(text[i].as_py() or "", lost, hashes)
                     new.append(shorter if gone[i] else text[i].as_py())
                 lines = pc.add(pc.fill_null(pc.count_substring(text, "\n"), 0), 1).cast(pa.int64())
                 if len(rows):
@@ -155,10 +163,7 @@ def drop_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     """
     spark = docs.sparkSession
     ship(spark)
-    keys = F.filter(F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), lambda x: hashed(line_key(x), min_chars)), lambda k: k.isNotNull())
-    slim = docs.select(F.col(id_col).alias("doc_id"), keys.alias("keys"))
-    repeats = F.size(F.array_distinct(F.transform("keys", lambda k: k["a"]))) < F.size("keys")
-    slim = slim.select("doc_id", F.explode(F.when(repeats, distinct_keys(F.col("keys"))).otherwise(F.col("keys"))).alias("k")).select("doc_id", "k.a", "k.b")
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_keys(min_chars), StructType([StructField("doc_id", docs.schema[id_col].dataType), StructField("a", LongType()), StructField("b", LongType())]))
     slim = materialize(slim, "line-keys")
     cuts = slim.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 1000).alias("cuts")).first()["cuts"] or []
     runs = LineRuns(spark, min_docs)
