@@ -46,8 +46,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mixing", mixing), ("packing", packing)]
 
-#: SQL cannot express trained models and tokenizers. tests/llm/test_pipeline.py checks columns, unique ids and counts of pieces;
-#: the operators below the stages are held against brute force in test_models.py and test_native.py.
+#: SQL cannot express trained models and tokenizers. tests/llm/test_pipeline.py holds every stage against plain loops over what the one before kept.
 ORACLE_SQL = None
 
 
