@@ -26,6 +26,7 @@ empty result. Extra columns are not read. Very long texts are hashed whole, in b
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -312,16 +313,19 @@ def keep_first(docs: DataFrame, **how) -> DataFrame:
     first = keys.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key", "n")).alias("first")).select("first.*")
     first = materialize(first.select("doc_id", "text_key", "n"), "first")
 
+    own = uuid.uuid4().hex  # names that no table has
+    key, doc_key, text_key = f"key_{own}", f"doc_{own}", f"text_{own}"
+
     def named(rows: DataFrame) -> DataFrame:
-        return rows.select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"))
+        return rows.select(F.col("doc_id").alias(doc_key), F.col("text_key").alias(text_key))
 
     def met(left: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-        return left.join(named(rows), same(F.col(id_col), F.col("_doc_id")) & (F.col("_key") == F.col("_text_key")), how)
+        return left.join(named(rows), same(F.col(id_col), F.col(doc_key)) & (F.col(key) == F.col(text_key)), how)
 
     id_col, text_col = how.get("id_col", "doc_id"), how.get("text_col", "text")
-    gone = keys.join(named(first), same(F.col("doc_id"), F.col("_doc_id")) & (F.col("text_key") == F.col("_text_key")), "left_anti")
-    out = met(docs.withColumn("_key", F.xxhash64(text_col)), gone, "left_anti")
+    gone = keys.join(named(first), same(F.col("doc_id"), F.col(doc_key)) & (F.col("text_key") == F.col(text_key)), "left_anti")
+    out = met(docs.withColumn(key, F.xxhash64(text_col)), gone, "left_anti")
     again = first.where("n > 1")
     if again.head(1):
-        out = met(out, again, "left_anti").unionByName(met(out, again, "left_semi").dropDuplicates([id_col, "_key"]))
-    return out.drop("_key")
+        out = met(out, again, "left_anti").unionByName(met(out, again, "left_semi").dropDuplicates([id_col, key]))
+    return out.drop(key)

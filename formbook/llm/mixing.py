@@ -21,6 +21,8 @@ documents; an empty table gives an empty result. Extra columns are not read.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -146,9 +148,11 @@ def mix(
 
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
-    """The mix as documents: each as often as it is taken, whole, with the columns of ``docs``."""
+    """The mix as documents: each as often as it is taken, whole, with the columns of ``docs``. Rows of equal id and size are taken as often as the one of them that is taken most."""
     id_col = how.get("id_col", "doc_id")
-    times = mix(docs, split=False, **how).where("taken > 0").groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size")).agg(F.max(F.round(F.col("taken") / F.col("size")).cast("int")).alias("_times"))
-    sized = docs.withColumn("_words", word_count(F.col(how.get("text_col", "text"))))
-    joined = sized.join(times, same(F.col(id_col), F.col("_id")) & (F.col("_words") == F.col("_size")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(docs.columns)
+    own = uuid.uuid4().hex  # names that no table has
+    key, size, times, words, copy = (f"{c}_{own}" for c in ("id", "size", "times", "words", "copy"))
+    taken = mix(docs, split=False, **how).where("taken > 0").groupBy(F.col("doc_id").alias(key), F.col("size").alias(size)).agg(F.max(F.round(F.col("taken") / F.col("size")).cast("int")).alias(times))
+    sized = docs.withColumn(words, word_count(F.col(how.get("text_col", "text"))))
+    joined = sized.join(taken, same(F.col(id_col), F.col(key)) & (F.col(words) == F.col(size)))
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(docs.columns)

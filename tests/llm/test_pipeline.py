@@ -160,3 +160,19 @@ def test_stages_against_brute_force(spark):
             assert offset == ends
             ends += length
         assert ends <= 2048
+
+
+def test_stages_with_clashing_columns(spark):
+    """Helper names of older code as columns, nulls, repeated rows, no n_chars: nothing breaks and the columns stay."""
+    rows = [(1, "the one text of five words and more", "a"), (1, "the one text of five words and more", "a"), (None, None, None), (3, "", "b"), (4, "another text that is short enough here", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for c in ("_key", "_id", "_size", "_times", "_words", "_copy", "_lost", "_doc", "_salt", "n_lines", "size", "keys"):
+        docs = docs.selectExpr("*", f"7 AS {c}")
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("line_dedup", "near_dedup", "mixing"):
+        out = stages[name](spark, docs, SF)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert all(r["_key"] == 7 and r["n_lines"] == 7 for r in got), name
+        assert len(got) == {"line_dedup": 5, "near_dedup": 4}.get(name, len(got))
+        assert stages[name](spark, docs.limit(0), SF).count() == 0
