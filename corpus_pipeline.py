@@ -6,6 +6,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +27,11 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of 20 characters or more that three documents share stay in the last of them alone."""
-    out = drop_lines(docs)
-    return out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+    aside = {c: f"{c}_{uuid.uuid4().hex}" for c in ("n_lines", "n_dropped") if c in docs.columns}  # columns of the names that come out
+    out = drop_lines(docs.withColumnsRenamed(aside))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.drop("n_lines", "n_dropped").withColumnsRenamed({b: a for a, b in aside.items()}).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
