@@ -7,7 +7,6 @@ import uuid
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from formbook.functions import features as X
 from formbook.operators import backfill, dedup, models, reshape, rules, selection, sketches, terms, views
 from formbook.operators import reports as nested
 from formbook.operators import windows as win

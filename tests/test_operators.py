@@ -69,7 +69,7 @@ def test_features_do_not_leak(spark):
 
 def test_form_plan_is_lean(spark):
     plan = catalog.form_table(spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and plan.count("Exchange hashpartitioning") <= 4
+    assert "Python" not in plan and plan.count("Exchange hashpartitioning") <= 2
 
 
 def test_as_of_and_scd2(spark):
