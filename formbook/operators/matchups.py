@@ -127,11 +127,25 @@ def at_venue(p: DataFrame, value: Column, venue: Column, least: int = 5) -> Data
 
 
 def recent(p: DataFrame, value: Column, by: str, length: int, fallback: int) -> DataFrame:
-    """(by, game_date, velocity, woba): means over the ``length`` days before each day of a pitcher or batter, of ``fallback`` days where there are none."""
-    per = p.where(F.col(by).isNotNull()).groupBy(by, "game_date").agg(F.sum("release_speed").alias("s"), F.count("release_speed").alias("n"), F.count("events").alias("pa"), F.sum(value).alias("num"))
+    """(by, game_date, velocity, woba, kbb): means over the ``length`` days before each day of a pitcher or batter, of ``fallback`` days where there are none."""
+    is_ = lambda e: F.count_if(F.col("events") == e)
+    per = p.where(F.col(by).isNotNull()).groupBy(by, "game_date").agg(F.sum("release_speed").alias("s"), F.count("release_speed").alias("n"), F.count("events").alias("pa"), F.sum(value).alias("num"), (is_("strikeout") - is_("walk")).alias("kbb"))
     w = lambda n: W.partitionBy(by).orderBy(F.unix_date("game_date")).rangeBetween(-n, -1)
     ratio = lambda a, b, n: F.sum(a).over(w(n)) / F.nullif(F.sum(b).over(w(n)), F.lit(0))
-    return per.select(by, "game_date", F.coalesce(ratio("s", "n", length), ratio("s", "n", fallback)).alias("velocity"), (F.coalesce(ratio("num", "pa", length), ratio("num", "pa", fallback)) / 1000.0).alias("woba"))
+    either = lambda a, b: F.coalesce(ratio(a, b, length), ratio(a, b, fallback))
+    return per.select(by, "game_date", either("s", "n").alias("velocity"), (either("num", "pa") / 1000.0).alias("woba"), either("kbb", "pa").alias("kbb"))
+
+
+def venue_lift(p: DataFrame, value: Column, venue: Column, least: int = 3) -> DataFrame:
+    """(game, half, venue_lift): how much better the lineup hit at the game's venue before than everywhere before, each batter weighed by his plate appearances there."""
+    c, here = F.col, p.withColumn("venue", venue)
+    none = [F.lit(0).alias(x) for x in ("k", "bb", "hr")]
+    per = here.where("batter IS NOT NULL AND events IS NOT NULL").groupBy("batter", "venue", "game_date").agg(F.count(F.lit(1)).alias("pa"), F.sum(value).alias("num"), *none)
+    rows = lineups(p).join(here.select(*GAME, "venue").distinct(), GAME)
+    met = before(before(rows, per, ["batter", "venue"], "v_"), per, ["batter"], "c_")
+    known = c("v_pa") >= least
+    lift = (c("v_num") / c("v_pa") - c("c_num") / c("c_pa")) / 1000.0
+    return met.groupBy(*HALF).agg((F.sum(F.when(known, lift * c("v_pa"))) / F.sum(F.when(known, c("v_pa")))).alias("venue_lift"))
 
 
 def sided(rows: DataFrame, columns: list[str], top: str, bottom: str) -> DataFrame:

@@ -82,3 +82,39 @@ def m7_matchup_row(spark, d):
         "moon_illumination": S.moon_illumination(c("game_date")), "month": F.month("game_date"), "is_weekend": (F.weekday("game_date") >= 5).cast("int"),
     }
     return met.withColumnsRenamed(names).withColumns(more)
+
+
+def _window(of: str, by: str, days: int) -> str:
+    return f"sum({of}) OVER (PARTITION BY {by} ORDER BY game_date RANGE BETWEEN INTERVAL {days} DAYS PRECEDING AND INTERVAL 1 DAY PRECEDING)"
+
+
+def _recent(of: str, per: str) -> str:
+    return f"coalesce({_window(of, 'pitcher', 30)} / nullif({_window(per, 'pitcher', 30)}, 0)::DOUBLE, {_window(of, 'pitcher', 180)} / nullif({_window(per, 'pitcher', 180)}, 0)::DOUBLE)"
+
+
+@register(
+    f"""WITH {STEPS}, d AS (SELECT pitcher, game_date, sum(round(release_speed * 100)) AS s, count(release_speed) AS n, count(events) AS pa, sum({CASES}) AS num, sum((events = 'strikeout')::INT) - sum((events = 'walk')::INT) AS kbb FROM p GROUP BY 1, 2),
+ rc AS (SELECT pitcher, game_date, {_recent("s", "n")} / 100.0::DOUBLE AS velocity, {_recent("num", "pa")} / 1000.0::DOUBLE AS woba, {_recent("kbb", "pa")} AS kbb FROM d),
+ q AS (SELECT st.*, velocity, woba, kbb, 2 * coalesce(kbb, 0.1) - coalesce(woba, 0.32) + 0.05 * (coalesce(velocity, 93.0) - 93) / 3 AS quality FROM st LEFT JOIN rc USING (pitcher, game_date)),
+ bd AS (SELECT batter, game_pk % 30 AS venue, game_date, count(*) AS pa, sum({CASES}) AS num FROM p WHERE batter IS NOT NULL AND events IS NOT NULL GROUP BY 1, 2, 3),
+ vb AS (SELECT l.batter, l.venue, l.game_date, sum(bd.pa) AS pa, sum(bd.num) AS num FROM (SELECT DISTINCT batter, game_pk % 30 AS venue, game_date FROM lu) l JOIN bd ON bd.batter = l.batter AND bd.venue = l.venue AND bd.game_date < l.game_date GROUP BY 1, 2, 3),
+ cb AS (SELECT l.batter, l.game_date, sum(bd.pa) AS pa, sum(bd.num) AS num FROM (SELECT DISTINCT batter, game_date FROM lu) l JOIN bd ON bd.batter = l.batter AND bd.game_date < l.game_date GROUP BY 1, 2),
+ lf AS (SELECT lu.game_date, lu.game_pk, lu.inning_topbot, sum((vb.num / vb.pa::DOUBLE - cb.num / cb.pa::DOUBLE) / 1000.0::DOUBLE * vb.pa) FILTER (vb.pa >= 3) / sum(vb.pa) FILTER (vb.pa >= 3) AS lift FROM lu LEFT JOIN vb ON vb.batter = lu.batter AND vb.venue = lu.game_pk % 30 AND vb.game_date = lu.game_date LEFT JOIN cb ON cb.batter = lu.batter AND cb.game_date = lu.game_date GROUP BY 1, 2, 3),
+ a AS (SELECT * FROM q WHERE inning_topbot = 'Top'), h AS (SELECT * FROM q WHERE inning_topbot = 'Bot')
+ SELECT a.game_date, a.game_pk, a.pitcher AS home_starter_id, h.pitcher AS away_starter_id, round(a.velocity, 6) AS home_starter_velocity, round(h.velocity, 6) AS away_starter_velocity, round(a.kbb, 6) AS home_starter_k_bb, round(h.kbb, 6) AS away_starter_k_bb, round(a.woba, 6) AS home_starter_xwoba, round(h.woba, 6) AS away_starter_xwoba,
+ round(a.quality - h.quality, 6) + 0.0::DOUBLE AS arsenal_advantage, round(lh.lift, 6) AS home_venue_lift, round(la.lift, 6) AS away_venue_lift, round(coalesce(lh.lift, 0) - coalesce(la.lift, 0), 6) + 0.0::DOUBLE AS venue_woba_differential
+ FROM a JOIN h USING (game_date, game_pk) LEFT JOIN lf la ON la.game_date = a.game_date AND la.game_pk = a.game_pk AND la.inning_topbot = 'Top' LEFT JOIN lf lh ON lh.game_date = a.game_date AND lh.game_pk = a.game_pk AND lh.inning_topbot = 'Bot'"""
+)
+def m6_arsenal_table(spark, d):
+    """Starters' arsenal over the 30 days before (180 where there are none), and how much better each lineup hit at the venue before than everywhere."""
+    p, c = pitches(spark, d), F.col
+    # Speeds as whole hundredths: their sums are exact in any order.
+    form = M.recent(p.withColumn("release_speed", F.round(c("release_speed") * 100)), weights(), "pitcher", 30, 180).withColumn("velocity", c("velocity") / 100.0)
+    arms = M.sided(M.starters(p).join(form, ["pitcher", "game_date"], "left"), ["pitcher", "velocity", "kbb", "woba"], "home", "away").where("home_pitcher IS NOT NULL AND away_pitcher IS NOT NULL")
+    lift = M.sided(M.venue_lift(p, weights(), c("game_pk") % 30), ["venue_lift"], "away", "home")
+    met = M.joined([arms, lift])
+    quality = lambda side: X.arsenal_quality(F.coalesce(f"{side}_kbb", F.lit(0.1)), F.coalesce(f"{side}_woba", F.lit(0.32)), F.coalesce(f"{side}_velocity", F.lit(93.0)))
+    names = {"pitcher": "starter_id", "velocity": "starter_velocity", "kbb": "starter_k_bb", "woba": "starter_xwoba"}
+    shown = [(c(f"{side}_{a}") if a == "pitcher" else F.round(c(f"{side}_{a}"), 6)).alias(f"{side}_{b}") for side in ("home", "away") for a, b in names.items()]
+    zero = lambda side: F.coalesce(f"{side}_venue_lift", F.lit(0.0))
+    return met.select("game_date", "game_pk", *shown, (F.round(quality("home") - quality("away"), 6) + 0.0).alias("arsenal_advantage"), *[r6(c(f"{side}_venue_lift"), f"{side}_venue_lift") for side in ("home", "away")], (F.round(zero("home") - zero("away"), 6) + 0.0).alias("venue_woba_differential"))

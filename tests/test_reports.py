@@ -224,8 +224,8 @@ def test_careers_are_of_days_before_and_reach_back(spark):
     assert got[6].home_h2h_woba == pytest.approx(0.88) and got[6].home_starter_woba_allowed == pytest.approx((2.031 + 0.69) / 2) and got[6].away_starter_k_pct == 0.0
 
 
-@pytest.mark.parametrize("name", ["m5_matchup_table", "m7_matchup_row"])
-def test_matchup_tables_read_earlier_days_alone(spark, tmp_path, name):
+@pytest.mark.parametrize("name, column", [("m5_matchup_table", "home_lineup_woba_vs_hand"), ("m7_matchup_row", "home_starter_woba_30d"), ("m6_arsenal_table", "home_venue_lift")])
+def test_matchup_tables_read_earlier_days_alone(spark, tmp_path, name, column):
     from formbook.plans import catalog
 
     events = spark.read.parquet(f"{SF}/events.parquet")
@@ -236,7 +236,7 @@ def test_matchup_tables_read_earlier_days_alone(spark, tmp_path, name):
     early = [k for k in both[0] if str(k[0]) < "2024-01-15"]
     assert len(early) > 20 and all(both[0][k] == both[1][k] for k in early)
     on_the_day = [k for k in both[0] if str(k[0]) == "2024-01-15"]
-    assert all(both[0][k].home_lineup_woba_vs_hand == both[1][k].home_lineup_woba_vs_hand for k in on_the_day)
+    assert all(both[0][k][column] == both[1][k][column] for k in on_the_day)
 
 
 def test_bullpen_load(spark):
