@@ -7,16 +7,16 @@ lowest marginal of its labels. Spans of neighbouring windows that overlap are jo
 with the highest sum of confidences in which none meets another or a base span is kept. A span that the model adds must
 also pass its kind's check (``plausible``): a card number's digits, an address's four parts.
 
-A span holds a digit or an at sign (``ANCHOR``): this is part of the model, so windows without any hold no span and are not decoded.
-A span of up to half a window lies whole in one of the windows that hold an anchor of it.
+Every window of every text goes through the network, whatever it holds; a span of up to half a window lies whole in one of them.
+Where Viterbi's sums are highest without a span, the way back and the marginals are left out, since there is none to report.
 
-Scale: one map finds base spans and cuts out the stretches around anchors, which are stored; the model is trained on at most
+Scale: one map finds base spans and their surroundings; the model is trained on at most
 ``SAMPLE`` spans of each kind out of them, a documented bound, has some ten thousand numbers and is sent to the
-tasks; a second map decodes the stretches. Nothing else is shuffled. Patterns take time linear in a text.
+tasks; a second map reads the texts again and decodes them. Nothing is shuffled or stored but the surroundings. Patterns take time linear in a text.
 
 Edge cases: a null or empty text has no spans and the digest of an empty string; a null doc_id is kept; repeated rows are
 documents of their own; an empty table, or one without a base span, trains nothing and adds no spans; extra columns are not read; texts are whole, and
-a stretch of digits of any length is decoded window by window. Offsets are code points, ends exclusive.
+one of any length is decoded window by window. Offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -24,8 +24,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,8 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-#: What every span holds one of.
-ANCHOR = re.compile(r"[0-9@＠]")
+#: What every base span holds one of, by its pattern.
+ANCHOR = re.compile(r"[0-9@]")
 #: Characters of a window and of its step, spans of each kind that the model is trained on, least confidence of a span that is added.
 WINDOW, STEP, SAMPLE, LEAST = 96, 48, 150, 0.8
 #: Characters around a span that training sees.
@@ -141,21 +142,32 @@ def example(pieces: tuple[int, str, str, str], rng: random.Random) -> tuple[str,
 
 
 # --- the model ---------------------------------------------------------------
-def codes(text: str, width: int = WINDOW) -> np.ndarray:
-    """A number for each character: printable ASCII its own, other letters, digits, spaces and signs one each; 0 fills up."""
-    raw = np.frombuffer(text[:width].encode("utf-32-le", "surrogatepass"), np.uint32)
-    out = np.where((raw >= 32) & (raw < 127), raw - 31, 96).astype(np.int64)
-    for i in np.flatnonzero(out == 96).tolist():
-        c = text[i]
-        out[i] = 97 if c.isalpha() else 98 if c.isspace() else 99 if c == "＠" else 96
-    return np.pad(out, (0, width - len(out)))
+CODES = 100
 
 
-CODES = 100
+@lru_cache(1)
+def _code_table() -> np.ndarray:
+    """The number of each character: printable ASCII its own, other letters, digits, spaces and signs one each."""
+    out = np.full(0x110000, 96, np.uint8)
+    out[32:127] = np.arange(1, 96)
+    for i in [*range(32), *range(127, len(out))]:
+        c = chr(i)
+        if c.isalpha():
+            out[i] = 97
+        elif c.isspace():
+            out[i] = 98
+    out[ord("＠")] = 99
+    return out
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (1 + np.tanh(0.5 * x))
+def text_codes(text: str) -> np.ndarray:
+    return _code_table()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+
+
+def codes(text: str, width: int = WINDOW) -> np.ndarray:
+    """A number for each character; 0 fills up."""
+    out = text_codes(text[:width])
+    return np.pad(out, (0, width - len(out))).astype(np.int64)
 
 
 def allowed() -> np.ndarray:
@@ -179,29 +191,48 @@ class Tagger:
         }
         self.params["x"][:, :, h : 2 * h] += 1.0  # remember at first
 
-    def states(self, x: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """(rows, width, 2 hidden) of codes (rows, width)."""
+    def steps(self, x: np.ndarray, keep: list | None = None) -> Iterator[np.ndarray]:
+        """States (2, rows, hidden) of codes (rows, width), place by place; the second direction goes from the last place to the first."""
         h, (rows, width) = self.hidden, x.shape
-        both = np.stack([x, x[:, ::-1]])
-        out = np.zeros((2, rows, width, h), np.float32)
-        hid, cell = np.zeros((2, rows, h), np.float32), np.zeros((2, rows, h), np.float32)
+        half = np.repeat([0.5, 0.5, 0.5, 1], h).astype(self.params["u"].dtype)  # a gate is 0.5 + 0.5 tanh(z / 2)
+        table, u = self.params["x"] * half, self.params["u"] * half
+        seen = np.ascontiguousarray(np.stack([x.T, x.T[::-1]], 1), np.intp)
+        hid, cell = np.zeros((2, rows, h), u.dtype), np.zeros((2, rows, h), u.dtype)
+        z, own, new = np.empty((2, rows, 4 * h), u.dtype), np.empty((2, rows, 4 * h), u.dtype), np.empty((2, rows, h), u.dtype)
+        scale, shift = (np.broadcast_to(v, z.shape).copy() for v in (half, (1 - half)))  # whole tables, with which numpy is faster
         for t in range(width):
-            z = np.matmul(hid, self.params["u"])
-            z[0] += self.params["x"][0][both[0, :, t]]
-            z[1] += self.params["x"][1][both[1, :, t]]
-            gate, new = _sigmoid(z[..., : 3 * h]), np.tanh(z[..., 3 * h :])
-            i, f, o = gate[..., :h], gate[..., h : 2 * h], gate[..., 2 * h :]
-            before, last = cell, hid
-            cell = f * cell + i * new
-            shown = np.tanh(cell)
-            hid = o * shown
-            out[:, :, t] = hid
+            np.matmul(hid, u, out=z)
+            for way in range(2):
+                np.take(table[way], seen[t, way], axis=0, out=own[way], mode="clip")
+            z += own
+            np.tanh(z, out=z)
+            z *= scale
+            z += shift
             if keep is not None:
-                keep.append((i, f, o, new, before, last, shown, np.concatenate([gate * (1 - gate), 1 - new * new], -1)))
-        return np.concatenate([out[0], out[1][:, ::-1]], -1)
+                before, last, cell = cell, hid, cell.copy()
+            cell *= z[..., h : 2 * h]
+            cell += np.multiply(z[..., :h], z[..., 3 * h :], out=new)
+            shown = np.tanh(cell, out=new)
+            hid = z[..., 2 * h : 3 * h] * shown
+            if keep is not None:
+                gates = z.copy()
+                slope = np.concatenate([gates[..., : 3 * h] * (1 - gates[..., : 3 * h]), 1 - gates[..., 3 * h :] ** 2], -1)
+                keep.append((*(gates[..., k * h : (k + 1) * h] for k in range(4)), before, last, shown.copy(), slope))
+            yield hid
+
+    def by_label(self, x: np.ndarray) -> np.ndarray:
+        """Emissions (width, labels, rows) of codes (rows, width), each less that of the first label, which changes no likelihood."""
+        h, o, b = self.hidden, self.params["o"], self.params["b"]
+        first, second = (np.ascontiguousarray((w[:, 1:] - w[:, :1]).T) for w in (o[:h], o[h:]))
+        e = np.zeros((x.shape[1], LABELS, len(x)), o.dtype)
+        e[:, 1:] = (b[1:] - b[0])[:, None]
+        for t, hid in enumerate(self.steps(x)):
+            e[t, 1:] += first @ hid[0].T
+            e[-1 - t, 1:] += second @ hid[1].T
+        return e
 
     def emissions(self, x: np.ndarray) -> np.ndarray:
-        return (self.states(x) @ self.params["o"] + self.params["b"]).astype(np.float64)
+        return self.by_label(x).transpose(2, 0, 1).astype(np.float64)
 
     def chain(self, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For emissions (width, rows, labels): forward and backward sums of the CRF, scaled at each place so that their product is the
@@ -222,7 +253,8 @@ class Tagger:
         """Negative log-likelihood of the labels for each row, and its gradients."""
         (rows, width), h = x.shape, self.hidden
         keep: list = []
-        s = self.states(x, keep)
+        s = np.stack(list(self.steps(x, keep)))
+        s = np.concatenate([s[:, 0], s[::-1, 1]], -1).transpose(1, 0, 2)
         e = (s @ self.params["o"] + self.params["b"]).astype(np.float64)
         a, b, own, total = self.chain(np.ascontiguousarray(e.transpose(1, 0, 2)))
         t = self.params["t"] + allowed()
@@ -254,20 +286,40 @@ class Tagger:
             grads["x"][way] = is_code.T @ dz[:, way].reshape(-1, 4 * h)
         return float((total - score).mean()), grads
 
+    def may_hold(self, e: np.ndarray) -> np.ndarray:
+        """Of emissions by label the rows whose best labels can be others than none: all of those, and few more.
+
+        Viterbi's sums, each less that of no span, but begin and inside of a kind taken for one with the best transitions of both: no
+        row of labels has more.
+        """
+        t, s = (self.params["t"] - self.params["t"][0, 0]).astype(e.dtype), (self.params["s"] - self.params["s"][0]).astype(e.dtype)
+        column = lambda values: np.array(values, e.dtype)[:, None]
+        begins = range(1, LABELS, 2)
+        enter, other = column([t[0, k] for k in begins]), column([t[1:, k].max() for k in begins])
+        stay, leave = column([max(t[k, k + 1], t[k + 1, k + 1]) for k in begins]), column([t[k : k + 2, 0].max() + 1e-2 for k in begins])  # more than single precision loses
+        none, within = np.zeros(e.shape[2], e.dtype), e[0, 1::2] + column([s[k] for k in begins])
+        for at in range(1, len(e)):
+            begun = np.maximum(none + enter, within.max(0) + other) + e[at, 1::2]
+            none, within = np.maximum(none, (within + leave).max(0)), np.maximum(begun, within + stay + e[at, 2::2])
+        return (none > 0) | ((within + 1e-2).max(0) > 0)
+
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The most likely labels of each row, and the marginal of each of them."""
-        e = self.emissions(x)
+        return self.decoded(self.emissions(x))
+
+    def decoded(self, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``decode``, of emissions (rows, width, labels)."""
         a, b, _, _ = self.chain(np.ascontiguousarray(e.transpose(1, 0, 2)))
-        t, width = self.params["t"] + allowed(), x.shape[1]
+        t, width = self.params["t"] + allowed(), e.shape[1]
         best, back = e[:, 0] + self.params["s"] + allowed()[0], np.empty(e.shape, np.int8)
         for i in range(1, width):
             step = best[:, :, None] + t
             back[:, i] = step.argmax(1)
             best = e[:, i] + step.max(1)
-        labels = np.empty(x.shape, np.int64)
+        labels = np.empty(e.shape[:2], np.int64)
         labels[:, -1] = best.argmax(1)
         for i in range(width - 1, 0, -1):
-            labels[:, i - 1] = back[np.arange(len(x)), i, labels[:, i]]
+            labels[:, i - 1] = back[np.arange(len(e)), i, labels[:, i]]
         return labels, np.take_along_axis((a * b).transpose(1, 0, 2), labels[:, :, None], 2)[:, :, 0]
 
 
@@ -308,18 +360,9 @@ def train(sample: list[tuple[int, str, str, str]], *, steps: int = 300, rows: in
 
 
 # --- decoding ----------------------------------------------------------------
-def stretches(text: str, step: int = STEP) -> list[tuple[int, str]]:
-    """The parts of ``text`` that windows with an anchor cover: windows start at multiples of ``step`` and are two steps wide."""
-    steps = np.unique([m.start() // step for m in ANCHOR.finditer(text)])
-    if not len(steps):
-        return []
-    first, last = np.maximum(steps - 1, 0), steps + 2  # the windows before and at the step
-    cut = np.flatnonzero(first[1:] > last[:-1] - 1) + 1  # windows of neighbouring stretches would not follow each other
-    out = []
-    for group in np.split(np.arange(len(steps)), cut):
-        a, b = int(first[group[0]]) * step, int(last[group[-1]]) * step
-        out.append((a, text[a:b]))
-    return out
+def stretches(text: str) -> list[tuple[int, str]]:
+    """(start, text) of what is decoded: the whole text."""
+    return [(0, text)] if text else []
 
 
 def labelled(labels: np.ndarray, marginal: np.ndarray, start: int) -> list[tuple[int, int, int, float]]:
@@ -345,14 +388,15 @@ def reconciled(base: list[tuple[int, int, int]], found: list[tuple[int, int, int
             else:
                 joined.append([k, a, b, p])
     taken = sorted((a, b) for _, a, b in base)
+    starts = [a for a, _ in taken]
     tops = np.maximum.accumulate([b for _, b in taken]) if taken else np.zeros(0, int)
     free = []
     for k, a, b, p in joined:
         text = text_of(a, b)
         a, b = a + len(text) - len(text.lstrip()), b - len(text) + len(text.rstrip())
-        meets = int(np.searchsorted([x for x, _ in taken], b))
+        meets = bisect_left(starts, b)
         whole = not any(c.isalnum() for c in text_of(a - 1, a) + text_of(b, b + 1))  # a part of a number or word is none
-        if p >= least and a < b and whole and not (meets and tops[meets - 1] > a) and ANCHOR.search(text) and plausible(k, text.strip()):
+        if p >= least and a < b and whole and not (meets and tops[meets - 1] > a) and plausible(k, text.strip()):
             free.append((b, a, k, p))
     free.sort()
     ends = [f[0] for f in free]
@@ -374,64 +418,69 @@ def reconciled(base: list[tuple[int, int, int]], found: list[tuple[int, int, int
     return out
 
 
-def decode_stretches(tagger: Tagger, rows: list[list[tuple[int, str]]], most: int = 2048) -> list[list[tuple[int, int, int, float]]]:
-    """What the tagger finds in the stretches of each document."""
-    windows = [(i, a + at, t[at : at + WINDOW]) for i, parts in enumerate(rows) for a, t in parts for at in range(0, max(1, len(t) - STEP), STEP)]
+def _windows(parts: list[tuple[int, str]]) -> Iterator[tuple[int, np.ndarray]]:
+    """(start, codes) of runs of windows, of up to a thousand each; a window's last places may be empty."""
+    for a, text in parts:
+        count = max(1, -(-(len(text) - STEP) // STEP))
+        for first in range(0, count, 1000):
+            own = min(1000, count - first)
+            piece = text_codes(text[first * STEP : (first + own + 1) * STEP])
+            halves = np.pad(piece, (0, (own + 1) * STEP - len(piece))).reshape(-1, STEP)
+            yield a + first * STEP, np.hstack([halves[:-1], halves[1:]])
+
+
+def decode_stretches(tagger: Tagger, rows: list[list[tuple[int, str]]], most: int = 512) -> list[list[tuple[int, int, int, float]]]:
+    """What the tagger finds in the stretches of each document; every window goes through it."""
     found: list[list] = [[] for _ in rows]
-    for at in range(0, len(windows), most):
-        some = windows[at : at + most]
-        labels, marginal = tagger.decode(np.array([codes(t) for _, _, t in some]))
-        for j in np.flatnonzero((labels % 2 == 1).any(1)).tolist():
-            i, a, t = some[j]
-            found[i] += labelled(labels[j, : len(t)], marginal[j, : len(t)], a)
+    where: list[tuple[int, int]] = []
+    waiting: list[np.ndarray] = []
+
+    def run(upto: int) -> None:
+        """Windows that wait, ``most`` at a time, while there are ``upto`` or more."""
+        nonlocal where, waiting
+        every = np.concatenate(waiting)
+        at = 0
+        while len(every) - at >= max(upto, 1):
+            e = tagger.by_label(every[at : at + most])
+            some = np.flatnonzero(tagger.may_hold(e))
+            if len(some):
+                labels, marginal = tagger.decoded(np.ascontiguousarray(e[:, :, some].transpose(2, 0, 1), np.float64))
+                for j in np.flatnonzero((labels % 2 == 1).any(1)).tolist():
+                    (i, a), size = where[at + some[j]], int(np.count_nonzero(every[at + some[j]]))  # no character has number 0
+                    found[i] += labelled(labels[j, :size], marginal[j, :size], a)
+            at += most
+        where, waiting = where[at:], [every[at:]]
+
+    for i, parts in enumerate(rows):
+        for a, own in _windows(parts):
+            where += [(i, a + k * STEP) for k in range(len(own))]
+            waiting.append(own)
+            if len(where) >= 4 * most:
+                run(most)
+    if where:
+        run(1)
     return found
 
 
-PART = "struct<start: int, text: string>"
-SPAN = "struct<kind: int, start: int, end: int>"
 REPORT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
-_PART_TYPE = pa.struct([("start", pa.int32()), ("text", pa.string())])
-_SPAN_TYPE = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
 
 
-def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for at in range(0, whole.num_rows, 500):
-            batch = whole.slice(at, 500)
-            base, parts = [], []
-            for t in batch.column(1).to_pylist():
-                if t is None or not ANCHOR.search(t):
-                    base.append([])
-                    parts.append([])
-                    continue
-                base.append([{"kind": k, "start": a, "end": b} for k, a, b in base_spans(t)])
-                parts.append([{"start": a, "text": p} for a, p in stretches(t)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, pa.list_(_SPAN_TYPE)), pa.array(parts, pa.list_(_PART_TYPE))], ["doc_id", "base", "parts"])
-
-
-def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for base, parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for s in base:
-                p = next((p for p in parts if p["start"] <= s["start"] and s["end"] <= p["start"] + len(p["text"])), None)
-                if p is not None and s["end"] - s["start"] <= STEP:
-                    a, b = s["start"] - p["start"], s["end"] - p["start"]
-                    rows.append((s["kind"], p["text"][max(0, a - AROUND) : a], p["text"][a:b], p["text"][b : b + AROUND]))
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.string()) for c in cols[1:]]], ["kind", "before", "span", "after"])
-
-
-def prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, base, parts): base spans and the stretches around anchors, stored."""
-    ship(docs.sparkSession)
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return materialize(slim.mapInArrow(_prepared, f"doc_id long, base array<{SPAN}>, parts array<{PART}>"), "anchors")
-
-
-def fitted(rows: DataFrame, sample: int = SAMPLE, **options) -> Tagger | None:
-    """A tagger from at most ``sample`` base spans of each kind, chosen by a hash."""
-    around = materialize(rows.where(F.size("base") > 0).select("base", "parts").mapInArrow(_surroundings, "kind int, before string, span string, after string"), "labelled")
+            rows = []
+            for t in whole.slice(at, 500).column(0).to_pylist():
+                for k, a, b in base_spans(t):
+                    first, last = max(0, (a // STEP - 1) * STEP, a - AROUND), min(((b - 1) // STEP + 2) * STEP, b + AROUND)  # the windows that meet the span
+                    if b - a <= STEP:
+                        rows.append((k, t[first:a], t[a:b], t[b:last]))
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.string()) for c in cols[1:]]], ["kind", "before", "span", "after"])
+
+
+def fitted(texts: DataFrame, sample: int = SAMPLE, **options) -> Tagger | None:
+    """A tagger from at most ``sample`` base spans of each kind in ``texts`` (text), chosen by a hash."""
+    around = materialize(texts.where("text is not null").mapInArrow(_surroundings, "kind int, before string, span string, after string"), "labelled")
     order = F.xxhash64("before", "span", "after")
     some = reduce(DataFrame.unionByName, [around.where(F.col("kind") == k).orderBy(order, "before", "span", "after").limit(sample) for k in range(len(KINDS))])
     return train([(r.kind, r.before, r.span, r.after) for r in some.collect()], **options)
@@ -444,18 +493,14 @@ def shown(spans: list[tuple[int, int, int]]) -> str:
 def _reported(tagger: Tagger | None):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                batch = whole.slice(at, 2000)
-                bases = [[(s["kind"], s["start"], s["end"]) for s in x] for x in batch.column(1).to_pylist()]
-                parts = [[(p["start"], p["text"]) for p in x] for x in batch.column(2).to_pylist()]
-                found = decode_stretches(tagger, parts) if tagger else [[] for _ in bases]
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                found = decode_stretches(tagger, [stretches(t) for t in texts]) if tagger else [[] for _ in texts]
                 rows = []
-                for doc, base, part, finds in zip(batch.column(0).to_pylist(), bases, parts, found, strict=True):
-
-                    def text_of(a, b, part=part):
-                        return next((t[a - s : b - s] for s, t in part if s <= a and b <= s + len(t)), "")
-
-                    more = reconciled(base, finds, text_of) if finds else []
+                for doc, text, finds in zip(batch.column(0).to_pylist(), texts, found, strict=True):
+                    base = base_spans(text)
+                    more = reconciled(base, finds, lambda a, b, text=text: text[max(0, a) : b]) if finds else []
                     counts = [sum(k == kind for k, _, _ in base) for kind in range(len(KINDS))]
                     rows.append((doc, *counts, hashlib.sha256(shown(base).encode()).hexdigest(), shown(base + more), len(more)))
                 if rows:
@@ -467,5 +512,6 @@ def _reported(tagger: Tagger | None):
 
 def pii_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added) for every document."""
-    rows = prepared(docs, id_col, text_col)
-    return rows.mapInArrow(_reported(fitted(rows, sample)), REPORT)
+    ship(docs.sparkSession)
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return slim.mapInArrow(_reported(fitted(slim.select("text"), sample)), REPORT)

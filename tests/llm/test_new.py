@@ -290,3 +290,30 @@ def test_stretches_cover_all_windows():
         windows = {a + at for a, t in parts for at in range(0, max(1, len(t) - pii.STEP), pii.STEP)}
         need = {at for at in range(0, max(1, len(text) - pii.STEP), pii.STEP) if "1" in text[at : at + pii.WINDOW]}
         assert need <= windows and all(text[a : a + len(t)] == t for a, t in parts)
+
+
+def test_windows_without_digits_are_decoded():
+    """Addresses written out, without a digit or an at sign within a thousand characters; before, their windows were passed over."""
+    rng = random.Random(6)
+    words = "an the of thing reon estion whor onder ation ser ly mar ton el grav und der die".split()
+    prose = lambda k: " ".join(rng.choice(words) for _ in range(k))
+    who = lambda: f"{rng.choice(words)}.{rng.choice(words)}"
+    tagger = pii.train([(0, prose(8) + " ", f"{who()}@mail.example.com", " " + prose(8)) for _ in range(150)])
+    right = 0
+    for _ in range(40):
+        before, span = prose(250) + " ", f"{who()}(at)mail.example.com"
+        text = f"{before}{span} {prose(250)}"
+        found = pii.reconciled([], pii.decode_stretches(tagger, [pii.stretches(text)])[0], lambda a, b, t=text: t[max(0, a) : b])
+        right += found == [(0, len(before), len(before) + len(span))]
+    assert right >= 30, right
+
+
+def test_screen_keeps_every_window_with_labels():
+    rng = np.random.default_rng(5)
+    for seed in range(20):
+        tagger = pii.Tagger(4, seed)
+        tagger.params |= {k: rng.normal(size=tagger.params[k].shape).astype(np.float32) for k in "ts"}
+        tagger.params["b"][0] = rng.normal() + 2
+        x = rng.integers(1, pii.CODES, (60, 30))
+        labels, _ = tagger.decode(x)
+        assert not ((labels != 0).any(1) & ~tagger.may_hold(tagger.by_label(x))).any()
