@@ -3,7 +3,7 @@
 1. *Signatures.* A document's shingle set is hashed to 64 bits and ``BANDS * ROWS`` universal hash
    minima are taken. Documents with the same set are one *class*, so exact copies never meet as pairs.
 2. *Banding.* Classes that share a band meet in a bucket. A bucket emits a star - each member with
-   the bucket's pivot - and never its pairs. With 32 bands of 4 rows a pair at similarity 0.8 misses
+   the bucket's pivot, its class that meets most others - and never its pairs. With 32 bands of 4 rows a pair at similarity 0.8 misses
    every bucket once in 20 million.
 3. *Verification.* Stars whose signatures are far below the threshold go; the others are confirmed on
    the full sets of hashed shingles; so is the pair of every bucket of two.
@@ -243,6 +243,20 @@ def prefix_pairs(members: DataFrame, percent: int) -> DataFrame:
     return met.select(F.col("x_class").alias("a"), F.col("y_class").alias("b")).distinct()
 
 
+def central_pivots(banded: DataFrame) -> DataFrame:
+    """(band, class, pivot, n) of the buckets of more than one class.
+
+    A bucket's pivot is its class that meets most others over all its buckets. So the buckets of a group of near copies
+    have few pivots between them, mostly one, and a class has about one star rather than one for each band.
+    """
+    sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = materialize(banded.join(sizes, "band"), "met")
+    weights = met.groupBy("class").agg(F.sum("n").alias("weight"))
+    weighed = materialize(met.join(weights, "class"), "weighed")
+    pivots = weighed.groupBy("band").agg(F.max(F.struct("weight", (-F.col("class")).alias("minus"))).alias("top")).select("band", (-F.col("top.minus")).alias("pivot"))
+    return materialize(weighed.drop("weight").join(pivots, "band"), "buckets")
+
+
 def rooted_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, seed: int = 7) -> DataFrame:
     """(doc_id, text_key, n_shingles, root) of every row; rows of one root are one component, and a row without words has none."""
     ship(docs.sparkSession)
@@ -253,8 +267,7 @@ def rooted_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     # Below, a class goes by its number: half as long as its hash, and stored here, so it stays when tasks run again.
     classes = materialize(classes.select("digest", "text.text_key", "text.text_check", "sig", "n", F.monotonically_increasing_id().alias("class")), "classes")
     banded = classes.select("class", F.explode(bands(F.col("sig"))).alias("band"))
-    pivots = banded.groupBy("band").agg(F.min("class").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = materialize(banded.join(pivots, "band"), "buckets")
+    buckets = central_pivots(banded)
     stars = buckets.where(F.col("class") != F.col("pivot")).groupBy(F.col("pivot").alias("a"), F.col("class").alias("b")).agg(F.min("n").alias("n"))
     # What is looked at again of the members of buckets with more than one class: their signatures, and their sets, which
     # are verified below, or once more after the stars.

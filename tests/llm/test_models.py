@@ -3,7 +3,7 @@
 import random
 import struct
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -220,6 +220,20 @@ def test_near_duplicates(spark):
     assert minhash.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_pivots_of_a_group_of_near_copies_are_few(spark):
+    """Each of 300 near copies shares most bands with all; by the smallest class a class had several stars."""
+    rng = random.Random(2)
+    rows = [(c, b if c == 200 or rng.random() < 0.6 else 1000 + c * minhash.BANDS + b) for c in range(300) for b in range(minhash.BANDS)]
+    banded = spark.createDataFrame(rows, "class long, band long")
+    buckets = minhash.central_pivots(banded).collect()
+    size, least = Counter(b for _, b in rows), {}
+    for c, b in rows:
+        least[b] = min(c, least.get(b, c))
+    assert sorted((r.band, r["class"], r.n) for r in buckets) == sorted((b, c, size[b]) for c, b in rows if size[b] > 1)
+    stars = lambda pivot: len({(pivot(r), r["class"]) for r in buckets if pivot(r) != r["class"]})
+    assert stars(lambda r: r.pivot) == 299 and stars(lambda r: least[r.band]) > 600
+
+
 def test_keep_first_keeps_one_row_of_each_component(spark):
     """Repeated ids, null ids, and an id of two texts of which one is a near copy."""
     a, b, c, d, e = (" ".join(prose(50 + i, 120)) for i in range(5))
