@@ -60,11 +60,16 @@ STRETCH = 120
 GAMES = ["day", "game_pk", "season", "home_team_id", "away_team_id", "result"]
 
 
+def _rated(rows: list[tuple]) -> pd.DataFrame:
+    columns = ["pool", "game_pk", "home_elo", "away_elo", "accepted", "revision"]
+    return pd.DataFrame(rows, columns=columns).astype({"game_pk": "Int64", "home_elo": "float64", "away_elo": "float64"})
+
+
 class LateRatings(StatefulProcessor):
     """A pool's state: for each stretch of days its games and the ratings before its first.
 
     A trigger's games go to their stretches; from the first stretch that got any, ratings are taken from its start and played to the end
-    again, so a late game changes what comes after it and nothing before. Memory holds one stretch. Stretches that lie more than
+    again, so a late game changes what comes after it and nothing before. Memory holds one stretch and a batch of rows that come out, for many stretches have a few games only. Stretches that lie more than
     ``keep`` days behind the pool's last day are let go with their games, and games of theirs come out as not accepted; a timer does so for a pool
     that gets no more games, once the watermark is that far.
     """
@@ -91,34 +96,35 @@ class LateRatings(StatefulProcessor):
         for part in rows:
             if part[[c for c in GAMES if c != "game_pk"]].isna().any(axis=None):
                 raise ValueError("a game without a date, season or team cannot be rated")
-            for stretch, games in part.groupby(part["day"] // STRETCH):
-                fresh.setdefault(int(stretch), []).append(games[GAMES])
+            for day, game, season, home, away, result in zip(*[part[c].tolist() for c in GAMES], strict=True):
+                fresh.setdefault(int(day) // STRETCH, []).append((int(day), None if pd.isna(game) else int(game), int(season), int(home), int(away), float(result)))
         late = [k for k in fresh if first is not None and k < first]
         for k in late:
-            games = pd.concat(fresh.pop(k))
-            yield pd.DataFrame({"pool": key[0], "game_pk": games["game_pk"].astype("Int64"), "home_elo": None, "away_elo": None, "accepted": False, "revision": revision}).astype({"home_elo": "float64", "away_elo": "float64"})
+            yield _rated([(key[0], g[1], None, None, False, revision) for g in fresh.pop(k)])
         if not fresh:
             return
         begin, revision = min(fresh), revision + 1
         known = sorted({*fresh, *(k[0] for k in self.stretches.keys())})
         earlier = [k for k in known if k < begin]
-        ratings = None
+        ratings, out = None, []
         for stretch in ([earlier[-1]] if earlier else []) + [k for k in known if k >= begin]:
             stored = self.stretches.getValue((stretch,)) if self.stretches.containsKey((stretch,)) else None
-            games = [pd.DataFrame(json.loads(stored[0]), columns=GAMES)] if stored else []
-            games = pd.concat([*games, *fresh.get(stretch, [])]).sort_values(["day", "game_pk"], na_position="last", kind="stable")
+            games = sorted([*(json.loads(stored[0]) if stored else []), *fresh.get(stretch, [])], key=lambda g: (g[0], g[1] is None, g[1] or 0))
             if ratings is None:  # the ratings before the stretch from which games are played again
                 kept = json.loads(stored[1]) if stored and earlier else {"ratings": {}, "season": None}
                 ratings = elo.Ratings(rating={int(t): r for t, r in kept["ratings"].items()}, season=kept["season"])
             before = json.dumps({"ratings": {str(t): x for t, x in ratings.rating.items()}, "season": ratings.season})
-            out = []
-            for day, game, season, home, away, result in games.itertuples(index=False):
-                x, y, _ = ratings.play(int(season), int(home), int(away), float(result))
-                out.append((key[0], game, x, y, True, revision))
-                last = max(int(day), last) if last is not None else int(day)
-            self.stretches.updateValue((stretch,), (games.to_json(orient="values"), before))
-            if stretch >= begin:
-                yield pd.DataFrame(out, columns=["pool", "game_pk", "home_elo", "away_elo", "accepted", "revision"]).astype({"game_pk": "Int64"})
+            for day, game, season, home, away, result in games:
+                x, y, _ = ratings.play(season, home, away, result)
+                if stretch >= begin:
+                    out.append((key[0], game, x, y, True, revision))
+                last = max(day, last) if last is not None else day
+            self.stretches.updateValue((stretch,), (json.dumps(games), before))
+            if len(out) >= elo.BATCH:
+                yield _rated(out)
+                out = []
+        if out:
+            yield _rated(out)
         if self.keep is not None:
             first = self._let_go((last - self.keep) // STRETCH)
             for t in self.handle.listTimers():

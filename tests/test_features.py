@@ -180,3 +180,46 @@ def test_replay_holds_no_whole_pool(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     for frame in (replayed, after):
         assert "GroupsInPandas" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_pool_of_many_stretches_comes_out_in_one_batch():
+    """Twenty stretches of two games each: a frame for each of them took most of the time."""
+    import pandas as pd
+
+    from formbook.streaming import pitches as live
+
+    class State(dict):
+        def exists(self):
+            return bool(self)
+
+        def get(self, *key):
+            return self["v"]
+
+        def update(self, value):
+            self["v"] = value
+
+        def containsKey(self, key):  # noqa: N802
+            return key in self
+
+        def getValue(self, key):  # noqa: N802
+            return self[key]
+
+        def updateValue(self, key, value):  # noqa: N802
+            self[key] = value
+
+    class Handle:
+        def getMapState(self, *_):  # noqa: N802
+            return State()
+
+        def getValueState(self, *_):  # noqa: N802
+            return State()
+
+    games = [(60 * i, i, 1 + i // 6, i % 3, 3 + i % 2, float(i % 2)) for i in range(40)]
+    processor, ratings = live.LateRatings(None), live.elo.Ratings()
+    processor.init(Handle())
+    late = [g for g in games if g[1] == 5]
+    frames = [list(processor.handleInputRows(("p",), iter([pd.DataFrame(rows, columns=live.GAMES)]), None)) for rows in ([g for g in games if g[1] != 5], late)]
+    assert [len(f) for f in frames] == [1, 1]
+    want = {g[1]: ratings.play(*g[2:])[:2] for g in games}
+    last = {r.game_pk: (r.home_elo, r.away_elo) for f in (*frames[0], *frames[1]) for r in f.itertuples()}
+    assert last == want
