@@ -7,7 +7,10 @@ lowest marginal of its labels. Spans of neighbouring windows that overlap are jo
 with the highest sum of confidences in which none meets another or a base span is kept. A span that the model adds must
 also pass its kind's check (``plausible``): a card number's digits, an address's four parts.
 
-Every window of every text goes through the network, whatever it holds; a span of up to half a window lies whole in one of them.
+The result is that of all windows of all texts; a span of up to half a window lies whole in one of them. Windows are left out only where the check
+that follows shows that they cannot matter: what it passes holds a digit or, as an address, an at in some form, then a word, then a dot in some form (``AT``, from
+``plausible`` itself). So the windows that meet one of these are decoded first, and then, until there are no more, those that meet a find: every find that overlaps another,
+and so may be joined to it, is there. Joined finds of other windows alone hold neither and would fail their check.
 Where Viterbi's sums are highest without a span, the way back and the marginals are left out, since there is none to report.
 
 Scale: one map finds base spans and their surroundings; the model is trained on at most
@@ -44,6 +47,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 #: What every base span holds one of, by its pattern.
 ANCHOR = re.compile(r"[0-9@]")
+#: What an address in any form that ``plausible`` passes holds: an at, a word behind it and a dot, each at its place.
+AT = re.compile(r"[@＠aA](?:(?<=[@＠])|(?<=[\s\[({<].)[tT](?=[\s\])}>]))(?=[\s\])}>]*+[A-Za-z0-9-]++(?:\s++[dD][oO][tT]\s|\s*+[.\[({<]))")
 #: Characters of a window and of its step, spans of each kind that the model is trained on, least confidence of a span that is added.
 WINDOW, STEP, SAMPLE, LEAST = 96, 48, 150, 0.8
 #: Characters around a span that training sees.
@@ -143,6 +148,7 @@ def example(pieces: tuple[int, str, str, str], rng: random.Random) -> tuple[str,
 
 # --- the model ---------------------------------------------------------------
 CODES = 100
+DIGITS = ord("0") - 31, ord("9") - 31
 
 
 @lru_cache(1)
@@ -418,20 +424,42 @@ def reconciled(base: list[tuple[int, int, int]], found: list[tuple[int, int, int
     return out
 
 
-def _windows(parts: list[tuple[int, str]]) -> Iterator[tuple[int, np.ndarray]]:
-    """(start, codes) of runs of windows, of up to a thousand each; a window's last places may be empty."""
-    for a, text in parts:
-        count = max(1, -(-(len(text) - STEP) // STEP))
-        for first in range(0, count, 1000):
-            own = min(1000, count - first)
-            piece = text_codes(text[first * STEP : (first + own + 1) * STEP])
-            halves = np.pad(piece, (0, (own + 1) * STEP - len(piece))).reshape(-1, STEP)
-            yield a + first * STEP, np.hstack([halves[:-1], halves[1:]])
+def _count(text: str) -> int:
+    return max(1, -(-(len(text) - STEP) // STEP))
+
+
+def _halves(text: str, first: int, own: int) -> np.ndarray:
+    """Codes of the half windows that ``own`` windows from number ``first`` on consist of; the last places may be empty."""
+    piece = text_codes(text[first * STEP : (first + own + 1) * STEP])
+    return np.pad(piece, (0, (own + 1) * STEP - len(piece))).reshape(-1, STEP)
+
+
+def anchored(text: str) -> np.ndarray:
+    """For each window whether it meets a digit or an at of any form with a dot of any form behind the next word."""
+    count = _count(text)
+    half = np.zeros(count + 1, bool)
+    half[[m.start() // STEP for m in AT.finditer(text)]] = True
+    for first in range(0, count, 1000):
+        codes = _halves(text, first, min(1000, count - first))
+        half[first : first + len(codes)] |= ((codes >= DIGITS[0]) & (codes <= DIGITS[1])).any(1)
+    return half[:-1] | half[1:]
+
+
+def _windows(text: str, taken: np.ndarray) -> Iterator[tuple[list[int], np.ndarray]]:
+    """Numbers and codes of the windows that are ``taken``, of up to a thousand each."""
+    for first in range(0, len(taken), 1000):
+        some = np.flatnonzero(taken[first : first + 1000])
+        if len(some):
+            halves = _halves(text, first, min(1000, len(taken) - first))
+            yield (first + some).tolist(), np.hstack([halves[some], halves[some + 1]])
 
 
 def decode_stretches(tagger: Tagger, rows: list[list[tuple[int, str]]], most: int = 512) -> list[list[tuple[int, int, int, float]]]:
-    """What the tagger finds in the stretches of each document; every window goes through it."""
+    """What the tagger finds in the stretches of each document, but for finds that no check can pass (see above)."""
     found: list[list] = [[] for _ in rows]
+    parts = [(i, a, text) for i, own in enumerate(rows) for a, text in own]
+    turn = [anchored(text) for _, _, text in parts]
+    done = [np.zeros(len(t), bool) for t in turn]
     where: list[tuple[int, int]] = []
     waiting: list[np.ndarray] = []
 
@@ -446,20 +474,29 @@ def decode_stretches(tagger: Tagger, rows: list[list[tuple[int, str]]], most: in
             if len(some):
                 labels, marginal = tagger.decoded(np.ascontiguousarray(e[:, :, some].transpose(2, 0, 1), np.float64))
                 for j in np.flatnonzero((labels % 2 == 1).any(1)).tolist():
-                    (i, a), size = where[at + some[j]], int(np.count_nonzero(every[at + some[j]]))  # no character has number 0
-                    found[i] += labelled(labels[j, :size], marginal[j, :size], a)
+                    (n, w), size = where[at + some[j]], int(np.count_nonzero(every[at + some[j]]))  # no character has number 0
+                    i, a, _ = parts[n]
+                    own = labelled(labels[j, :size], marginal[j, :size], a + w * STEP)
+                    found[i] += own
+                    for _, low, high, _ in own:  # the next turn decodes what may be joined to it
+                        turn[n][max(0, (low - a) // STEP - 1) : (high - 1 - a) // STEP + 1] = True
             at += most
         where, waiting = where[at:], [every[at:]]
 
-    for i, parts in enumerate(rows):
-        for a, own in _windows(parts):
-            where += [(i, a + k * STEP) for k in range(len(own))]
-            waiting.append(own)
-            if len(where) >= 4 * most:
-                run(most)
-    if where:
-        run(1)
-    return found
+    while True:
+        left = [(n, turn[n] & ~done[n]) for n in range(len(parts))]
+        left = [(n, taken) for n, taken in left if taken.any()]
+        if not left:
+            return found
+        for n, taken in left:
+            done[n] |= taken
+            for numbers, own in _windows(parts[n][2], taken):
+                where += [(n, w) for w in numbers]
+                waiting.append(own)
+                if len(where) >= 4 * most:
+                    run(most)
+        if where:
+            run(1)
 
 
 REPORT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"

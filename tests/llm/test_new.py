@@ -317,3 +317,36 @@ def test_screen_keeps_every_window_with_labels():
         x = rng.integers(1, pii.CODES, (60, 30))
         labels, _ = tagger.decode(x)
         assert not ((labels != 0).any(1) & ~tagger.may_hold(tagger.by_label(x))).any()
+
+
+def test_windows_left_out_change_nothing(monkeypatch):
+    """Taggers that find spans everywhere: the spans added are those of all windows. Before, prose without an anchor went through the network too."""
+    rng, numbers = random.Random(8), np.random.default_rng(8)
+    bits = ["word", "an", " at ", "(at)", " [ AT ]", " at\n", "＠", " @ ", ".", " . ", "[dot]", " dot ", "(.)", "x-1", "mail", "example", "com", "10", "[.]", "4111", " 1111", "/1111", "1111", "555", "-", " ", " ", "٣", "\u2003"]
+    prose = lambda k: " ".join(rng.choice("an the of thing look at that dot reon. ation meet".split()) for _ in range(k))
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(1, 20))).join([prose(rng.randrange(0, 60)), prose(rng.randrange(0, 60))]) for _ in range(400)] + ["", "7", "x" * 48 + "1"]
+    of = lambda text: lambda a, b: text[max(0, a) : b]
+    added = 0
+    for seed in range(6):
+        tagger = pii.Tagger(4, seed)
+        tagger.params |= {k: numbers.normal(size=tagger.params[k].shape).astype(np.float32) for k in "ts"}
+        tagger.params["t"][0, 1 + 2 * (seed % 4)] += 3 * (seed % 2)
+        tagger.params["t"][1 + 2 * (seed % 4) :, 2 + 2 * (seed % 4)] += 4
+        spans = lambda: [pii.reconciled([], f, of(t), 0.0) for t, f in zip(texts, pii.decode_stretches(tagger, [pii.stretches(t) for t in texts]), strict=True)]  # noqa: B023, E731
+        with monkeypatch.context() as m:
+            m.setattr(pii, "plausible", lambda kind, text: bool(pii.AT.search(text) if kind == 0 else pii._digits(text)))  # the least that the check asks
+            few = spans()
+            m.setattr(pii, "anchored", lambda text: np.ones(pii._count(text), bool))
+            assert few == spans()
+        added += sum(map(len, few))
+    assert added > 100, added
+    # Whatever the check takes for an address holds an at that counts.
+    for _ in range(20_000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(3, 9))).strip()
+        assert not pii.plausible(0, text) or pii.AT.search(text), text
+    for text in ("@ " * 150_000, "@" + "a" * 300_000, " at" * 100_000, "at " + "] " * 150_000, "@a (" * 80_000):
+        pii.anchored(text)
+    shown = []
+    monkeypatch.setattr(pii.Tagger, "by_label", lambda self, x: shown.append(len(x)) or np.zeros((x.shape[1], pii.LABELS, len(x)), np.float32))
+    pii.decode_stretches(pii.Tagger(4), [[(0, "look at that thing. " * 500 + "no. 7")]])
+    assert sum(shown) <= 2
