@@ -1,7 +1,7 @@
 """Outcome models on Spark ML: assembly, walk-forward evaluation, stacking, calibration, ablation and scoring.
 
 Frames carry the features, ``home_won`` and a season. Every fit sees earlier seasons only. Fits read their
-frame many times: give a stored table (``sinks.stored``), not a long plan.
+frame many times and wait for the slowest part each time: give a table in even parts (``training_table``), not a long plan.
 """
 
 from __future__ import annotations
@@ -31,17 +31,41 @@ KINDS = {
 }
 
 
-def pipeline(features: list[str], estimator: Estimator) -> Pipeline:
-    """Medians for missing values, one vector, unit variance, then the estimator."""
+def training_table(df: DataFrame, key: str = "game_pk") -> DataFrame:
+    """``df`` stored in even parts by ``key``, one for each core."""
+    return stored(df.repartition(df.sparkSession.sparkContext.defaultParallelism, key), "training")
+
+
+def preparation(features: list[str]) -> list[Estimator]:
+    """Medians for missing values, one vector, unit variance."""
     filled = [f"{c}__filled" for c in features]
-    return Pipeline(stages=[Imputer(strategy="median", inputCols=features, outputCols=filled), VectorAssembler(inputCols=filled, outputCol="_raw"), StandardScaler(inputCol="_raw", outputCol="features", withMean=True), estimator])
+    return [Imputer(strategy="median", inputCols=features, outputCols=filled), VectorAssembler(inputCols=filled, outputCol="_raw"), StandardScaler(inputCol="_raw", outputCol="features", withMean=True)]
+
+
+def fit_each(train: DataFrame, features: list[str], wanted: list[tuple[str, dict]], hidden: tuple[int, ...] = (16, 8), side_by_side: int = 1) -> list[PipelineModel]:
+    """A model of each (kind, parameters); medians and variances, which are the same for all of them, are taken once."""
+    rows = as_double(train, features).where(F.col(LABEL).isNotNull())
+    ready = Pipeline(stages=preparation(features)).fit(rows)
+    vectors = ready.transform(rows)
+
+    def one(own: tuple[str, dict]) -> PipelineModel:
+        kind, params = own
+        if kind == "perceptron":
+            params = {"layers": [len(features), *hidden, 2]} | params
+        return PipelineModel([*ready.stages, KINDS[kind](**params).fit(vectors)])
+
+    return at_once(train, one, wanted, side_by_side)
+
+
+def at_once(df: DataFrame, one, tasks: list, side_by_side: int) -> list:
+    """``one`` of each task, ``side_by_side`` at a time."""
+    with ThreadPoolExecutor(side_by_side) as pool:
+        return list(pool.map(inheritable_thread_target(df.sparkSession)(one), tasks))
 
 
 def fit(train: DataFrame, features: list[str], kind: str = "logistic", hidden: tuple[int, ...] = (16, 8), **params) -> PipelineModel:
     """``hidden``: units of the perceptron's inner layers; its first layer has the features and its last the two classes."""
-    if kind == "perceptron":
-        params = {"layers": [len(features), *hidden, 2]} | params
-    return pipeline(features, KINDS[kind](**params)).fit(as_double(train, features).where(F.col(LABEL).isNotNull()))
+    return fit_each(train, features, [(kind, params)], hidden)[0]
 
 
 def as_double(df: DataFrame, features: list[str]) -> DataFrame:
@@ -59,15 +83,13 @@ def seasons(df: DataFrame, season: str = "season", least: int = 3) -> list[int]:
     return sorted(r[0] for r in df.select(season).distinct().collect())[least:]
 
 
-def walk_forward(df: DataFrame, features: list[str], kind: str = "logistic", season: str = "season", least: int = 3, name: str = "p", **params) -> DataFrame:
-    """Out-of-fold probabilities: each season is scored by a model of all earlier ones."""
-    parts = []
-    for s in seasons(df, season, least):
-        model = fit(df.where(F.col(season) < s), features, kind, **params)
-        parts.append(score(model, df.where(F.col(season) == s), features, name))
-    if not parts:
+def walk_forward(df: DataFrame, features: list[str], kind: str = "logistic", season: str = "season", least: int = 3, name: str = "p", side_by_side: int = 4, **params) -> DataFrame:
+    """Out-of-fold probabilities: each season is scored by a model of all earlier ones; ``side_by_side`` of them are fitted at a time."""
+    folds = seasons(df, season, least)
+    if not folds:
         raise ValueError(f"fewer than {least + 1} seasons")
-    return reduce(DataFrame.unionByName, parts)
+    fitted = at_once(df, lambda s: fit(df.where(F.col(season) < s), features, kind, **params), folds, side_by_side)
+    return reduce(DataFrame.unionByName, [score(m, df.where(F.col(season) == s), features, name) for s, m in zip(folds, fitted, strict=True)])
 
 
 def metrics(scored: DataFrame, p: str = "p", by: list[str] | None = None) -> DataFrame:
@@ -94,21 +116,21 @@ def stack_score(models: list[PipelineModel], meta: PipelineModel, df: DataFrame,
 def search(df: DataFrame, features: list[str], kind: str, grid: list[dict], season: str = "season", least: int = 3, side_by_side: int = 4) -> DataFrame:
     """Out-of-fold metrics of every parameter set over all walk-forward folds, best log loss first.
 
-    Parameter sets times folds are fitted ``side_by_side`` at a time over ``df`` (give a stored table); each fit sees seasons before its fold alone.
-    What the jobs leave is one small table of probabilities for each.
+    Folds are fitted ``side_by_side`` at a time over ``df`` (give a stored table); each fit sees seasons before its fold alone. A fold's parameter
+    sets share its medians and variances and score it in one pass, which leaves one small table of probabilities.
     """
     folds = seasons(df, season, least)
     if not folds:
         raise ValueError(f"fewer than {least + 1} seasons")
 
-    def one(task: tuple[int, int]) -> DataFrame:
-        g, s = task
-        model = fit(df.where(F.col(season) < s), features, kind, **grid[g])
-        scored = score(model, df.where(F.col(season) == s), features).where(F.col(LABEL).isNotNull())
-        return stored(scored.select(F.lit(g).alias("set"), F.col(season).alias("fold"), LABEL, "p"), "search")
+    def one(s: int) -> DataFrame:
+        scored = df.where((F.col(season) == s) & F.col(LABEL).isNotNull())
+        for g, model in enumerate(fit_each(df.where(F.col(season) < s), features, [(kind, p) for p in grid])):
+            scored = score(model, scored, features, f"_p{g}")
+        each = F.explode(F.array(*[F.struct(F.lit(g).alias("set"), F.col(f"_p{g}").alias("p")) for g in range(len(grid))]))
+        return stored(scored.select(F.col(season).alias("fold"), LABEL, each.alias("own")).select("own.set", "fold", LABEL, "own.p"), "search")
 
-    with ThreadPoolExecutor(side_by_side) as pool:
-        parts = list(pool.map(inheritable_thread_target(df.sparkSession)(one), [(g, s) for g in range(len(grid)) for s in folds]))
+    parts = at_once(df, one, folds, side_by_side)
     names = df.sparkSession.createDataFrame([(g, str(p)) for g, p in enumerate(grid)], "set int, params string")
     every = reduce(DataFrame.unionByName, parts)
     return metrics(every, by=["set"]).join(names, "set").drop("set").orderBy("log_loss", "params")
@@ -134,12 +156,11 @@ def select_features(model: PipelineModel, features: list[str], share: float = 0.
     return ranked[: max(round(share * len(ranked)), min(least, len(ranked)))]
 
 
-def calibrators(train: DataFrame, p: str = "p") -> dict[str, PipelineModel]:
+def calibrators(train: DataFrame, p: str = "p", names: tuple[str, ...] = ("platt", "isotonic")) -> dict[str, PipelineModel]:
     """Platt scaling (a logistic fit on the probability) and isotonic regression."""
     d = train.withColumn(LABEL, F.col(LABEL).cast("double"))
-    platt = Pipeline(stages=[VectorAssembler(inputCols=[p], outputCol="features"), LogisticRegression(labelCol=LABEL)]).fit(d)
-    iso = Pipeline(stages=[VectorAssembler(inputCols=[p], outputCol="features"), IsotonicRegression(labelCol=LABEL)]).fit(d)
-    return {"platt": platt, "isotonic": iso}
+    last = {"platt": LogisticRegression(labelCol=LABEL), "isotonic": IsotonicRegression(labelCol=LABEL)}
+    return {n: Pipeline(stages=[VectorAssembler(inputCols=[p], outputCol="features"), last[n]]).fit(d) for n in names}
 
 
 def calibrated(name: str, model: PipelineModel, df: DataFrame, p: str = "p") -> DataFrame:
@@ -152,7 +173,7 @@ def choose_calibration(fit_on: DataFrame, hold_out: DataFrame, p: str = "p") ->
     """The calibrator with the smaller Brier score on the hold-out, fitted again on all rows."""
     brier = {n: metrics(calibrated(n, m, hold_out, p), "calibrated").first().brier for n, m in calibrators(fit_on, p).items()}
     best = min(sorted(brier), key=brier.get)
-    return best, calibrators(fit_on.unionByName(hold_out), p)[best]
+    return best, calibrators(fit_on.unionByName(hold_out), p, (best,))[best]
 
 
 def residual_by_key(df: DataFrame, features: list[str], label: str, key: str, least: int = 1) -> DataFrame:

@@ -15,7 +15,7 @@ FEATURES = ["home_form", "home_scored", "home_allowed", "away_form", "away_score
 
 
 def split(spark, d):
-    rows = stored(m1_training_set(spark, d))
+    rows = models.training_table(m1_training_set(spark, d))
     last = max(models.seasons(rows, least=1))
     return rows.where(F.col("season") < last), rows.where(F.col("season") == last)
 
