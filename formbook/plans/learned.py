@@ -31,8 +31,8 @@ def m15_m16_m22_scored_season(spark, d):
 @register()
 def m21_calibrated_season(spark, d):
     """Probabilities of unseen seasons, calibrated on the earlier of them."""
-    rows = stored(m1_training_set(spark, d))
-    unseen = models.walk_forward(rows, FEATURES).select("game_pk", "season", "home_won", "p")
+    rows = models.training_table(m1_training_set(spark, d))
+    unseen = stored(models.walk_forward(rows, FEATURES).select("game_pk", "season", "home_won", "p"))
     last = max(models.seasons(rows, least=1))
     name, model = models.choose_calibration(unseen.where(F.col("season") < last - 1), unseen.where(F.col("season") == last - 1))
     return models.calibrated(name, model, unseen.where(F.col("season") == last)).select("game_pk", "home_won", r6(F.col("p"), "p"), r6(F.col("calibrated"), "calibrated"), F.lit(name).alias("method"))
